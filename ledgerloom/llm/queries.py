@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding, token_counts
+from . import mixing, packing, quality, sharding, token_counts, topk
 
 CONTEXT = 2048
 
@@ -27,6 +27,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(_table(spark, sf_dir, "documents"))
+
+
+def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer(), CONTEXT, 1)
+
+
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_documents(_table(spark, sf_dir, "documents"), sharding.even_tree(8))
     return sharding.place(rows.withColumn("law", F.lit("key")), sharding.even_tree(9), "doc_id", "grown_shard")
@@ -38,8 +46,12 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "source", "size", "source_size", "target", "taken", "position")
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20, 64)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op7_shards, op8_mix)}
+    return {f.__name__: f for f in (op1_token_counts, op2_quality, op5_pack, op7_shards, op8_mix, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
