@@ -25,8 +25,8 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 RATIOS = {
     "word_length": ("word_chars", "n_words", 1000, 1000, True),
     "symbols": ("n_symbols", "n_words", 1000, 100, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 300, False),
-    "repeats": ("n_repeat_words", "n_words", 1000, 150, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 600, False),
+    "repeats": ("n_repeat_words", "n_words", 1000, 350, False),
 }
 REACH, LEAST = 4, 64
 _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
