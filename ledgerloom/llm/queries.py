@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, sharding, token_counts, topk
+from . import line_dedup, mixing, packing, passages, quality, sharding, token_counts, topk
 
 CONTEXT = 2048
 
@@ -31,10 +31,21 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_table(spark, sf_dir, "documents"))
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer(), CONTEXT, 1)
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = passages.dedup_passages(_table(spark, sf_dir, "documents"))
+    size = F.aggregate(F.coalesce("removed", F.array()), F.lit(0), lambda n, s: n + s["stop"] - s["start"]).cast("long")
+    return out.select("doc_id", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_spans"), size.alias("n_removed"), "removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_documents(_table(spark, sf_dir, "documents"), sharding.even_tree(8))
     return sharding.place(rows.withColumn("law", F.lit("key")), sharding.even_tree(9), "doc_id", "grown_shard")
@@ -51,7 +62,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_quality, op5_pack, op7_shards, op8_mix, op10_top_k)}
+    return {f.__name__: f for f in (op1_token_counts, op2_quality, op4_lines, op5_pack, op6_passages, op7_shards, op8_mix, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
