@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, packing, passages, quality, sharding, token_counts, topk
+from . import line_dedup, mixing, near_dup, packing, passages, quality, sharding, token_counts, topk
 
 CONTEXT = 2048
 
@@ -31,6 +31,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_table(spark, sf_dir, "documents"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+
+
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
@@ -62,7 +66,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_quality, op4_lines, op5_pack, op6_passages, op7_shards, op8_mix, op10_top_k)}
+    return {f.__name__: f for f in (op1_token_counts, op2_quality, op3_near_duplicates, op4_lines, op5_pack, op6_passages, op7_shards, op8_mix, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
