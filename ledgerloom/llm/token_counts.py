@@ -1,19 +1,22 @@
 """Token counts by counting each distinct pre-token once.
 
-Blocks of documents give their distinct pre-tokens, each with a posting list (document's place, frequency). The
-distinct pre-tokens of the corpus are tokenised once, the counts are joined to the blocks' pre-tokens, and each block
-sums count x frequency for its documents. Token ids are never kept.
+Blocks of documents give their distinct pre-tokens, each with a posting list (document's place, frequency). They are
+dealt to hash buckets of pre-tokens; a bucket tokenises each of its distinct pre-tokens once, joins these counts to the
+blocks' pre-tokens, and sums count x frequency for the documents of each block. A second pass adds up the buckets'
+sums of a block. Token ids are never kept.
 
-A row of the join is a pre-token of a block, so a frequent pre-token has one row per block, not per document, and a
-block (about 4 MB of text) is all that one call has to hold."""
+A block's pre-tokens travel packed, one row for each block and bucket, so a frequent pre-token is one entry per block,
+not a row per document, and an even hash bounds what a bucket has to hold."""
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,72 +27,133 @@ from ._tokens import encoder, units_of
 _MOST = 65_535  # what a posting's 16 bits hold
 
 
-def _postings(unit: np.ndarray, row: np.ndarray, n_rows: int, n_units: int) -> pa.Array:
-    """For each unit a binary list of (row, frequency), two bytes each; larger frequencies take several entries."""
+_SUM = np.dtype([("row", "<u2"), ("n", "<u4")])
+_ROWS = "bucket int, block long, is_meta boolean, payload binary"
+
+
+def _postings(unit: np.ndarray, row: np.ndarray, n_rows: int, n_units: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows and frequencies (16 bits each) of each unit in turn, and where a unit's begin; larger frequencies take several entries."""
     pairs, n = np.unique(unit * n_rows + row, return_counts=True)
     if len(n) and n.max() > _MOST:
         times = (n + _MOST - 1) // _MOST
-        last = np.cumsum(times) - 1
         rest = n - _MOST * (times - 1)
+        last = np.cumsum(times) - 1
         pairs, n = np.repeat(pairs, times), np.full(int(times.sum()), _MOST)
         n[last] = rest
-    entries = np.empty(len(pairs), [("row", "<u2"), ("n", "<u2")])
-    entries["row"], entries["n"] = pairs % n_rows, n
-    offsets = np.searchsorted(pairs, np.arange(n_units + 1) * n_rows) * 4
-    return pa.Array.from_buffers(pa.large_binary(), n_units, [None, pa.py_buffer(offsets.astype("<i8")), pa.py_buffer(entries.tobytes())])
-
-
-def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each distinct pre-token of a block, and one with the block's documents, whose key starts with a blank."""
-    part, k = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        texts = text_array(batch.column(1))
-        ids, size = batch.column(0), pc.binary_length(texts).to_numpy(zero_copy_only=False).astype("<i8")
-        for a, b in blocks(texts, most_rows=_MOST):
-            block = (part << 32) + k
-            k += 1
-            offsets, flat = split_words(texts.slice(a, b - a))
-            word, words = word_ids(flat)
-            units, head, tail = units_of(words)
-            row = rows_of(offsets)
-            tails = tail[word]
-            has = tails >= 0
-            lists = _postings(np.concatenate([head[word], tails[has]]), np.concatenate([row, row[has]]), b - a, len(units))
-            own = ids.slice(a, b - a)
-            meta = pc.fill_null(own, 0).to_numpy(zero_copy_only=False).astype("<i8").tobytes() + size[a:b].tobytes() + own.is_valid().to_numpy(zero_copy_only=False).astype("u1").tobytes()
-            keys = pa.concat_arrays([units.cast(pa.string()), pa.array([f" {block}"])])
-            lists = pa.concat_arrays([lists.cast(pa.binary()), pa.array([meta], pa.binary())])
-            yield pa.RecordBatch.from_arrays([keys, pa.array(np.full(len(keys), block)), lists], ["pretoken", "block", "payload"])
+    return (pairs % n_rows).astype("<u2"), n.astype("<u2"), np.searchsorted(pairs, np.arange(n_units + 1) * n_rows)
+
+
+def _zip(data: bytes) -> bytes:
+    return struct.pack("<q", len(data)) + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unzip(data: bytes) -> bytes:
+    return pa.decompress(data[8:], struct.unpack_from("<q", data)[0], codec="zstd", asbytes=True)
+
+
+def _pack(units: list[bytes], lengths: np.ndarray, rows: np.ndarray, n: np.ndarray) -> bytes:
+    return _zip(struct.pack("<qq", len(units), len(rows)) + lengths.astype("<u4").tobytes() + rows.tobytes() + n.tobytes() + b" ".join(units))
+
+
+def _unpack(data: bytes) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    data = _unzip(data)
+    u, e = struct.unpack_from("<qq", data)
+    a, b, c = 16 + 4 * u, 16 + 4 * u + 2 * e, 16 + 4 * u + 4 * e
+    return data[c:].decode().split(" "), np.frombuffer(data, "<u4", u, 16), np.frombuffer(data, "<u2", e, a), np.frombuffer(data, "<u2", e, b)
+
+
+def _block_rows(n_buckets: int, block_bytes: int):
+    """A row for each bucket that a block's pre-tokens fall in, and one with the block's documents."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, k = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            texts = text_array(batch.column(1))
+            ids, size = batch.column(0), pc.binary_length(texts).to_numpy(zero_copy_only=False).astype("<i8")
+            for a, b in blocks(texts, block_bytes, _MOST):
+                block = (part << 32) + k
+                k += 1
+                own = ids.slice(a, b - a)
+                meta = pc.fill_null(own, 0).to_numpy(zero_copy_only=False).astype("<i8").tobytes() + size[a:b].tobytes() + own.is_valid().to_numpy(zero_copy_only=False).astype("u1").tobytes()
+                offsets, flat = split_words(texts.slice(a, b - a))
+                word, words = word_ids(flat)
+                del flat
+                units, head, tail = units_of(words)
+                keys = units.cast(pa.large_binary()).to_pylist()
+                bucket = (np.fromiter(map(xxhash.xxh64_intdigest, keys), np.uint64, len(keys)) % np.uint64(n_buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
+                row, tails = rows_of(offsets), tail[word]
+                has = tails >= 0
+                rows, n, edges = _postings(rank[np.concatenate([head[word], tails[has]])], np.concatenate([row, row[has]]), b - a, len(units))
+                cut = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+                found = [(None, True, meta)]
+                for i in np.flatnonzero(np.diff(cut)).tolist():
+                    u, v = cut[i], cut[i + 1]
+                    e = slice(edges[u], edges[v])
+                    found.append((i, False, _pack([keys[j] for j in order[u:v].tolist()], np.diff(edges[u : v + 1]), rows[e], n[e])))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block % n_buckets if x[0] is None else x[0] for x in found], pa.int32()), pa.array([block] * len(found), pa.int64()), pa.array([x[1] for x in found]), pa.array([x[2] for x in found], pa.binary())],
+                    ["bucket", "block", "is_meta", "payload"],
+                )
+
+    return deal
+
+
+def _count_bucket(tokenizer: str):
+    """A bucket's distinct pre-tokens are tokenised once and joined to its blocks' postings; each block gets sums."""
+
+    def count(table: pa.Table) -> pa.Table:
+        meta = table.filter(table["is_meta"])
+        rest = table.filter(pc.invert(table["is_meta"]))
+        if not rest.num_rows:
+            return meta.select(["block", "is_meta", "payload"])
+        got = [_unpack(x) for x in rest["payload"].to_pylist()]
+        coded, distinct = word_ids(pa.array([u for x in got for u in x[0]], pa.large_string()))
+        pieces = encoder(tokenizer).lengths(distinct)[coded]
+        at, sums = 0, []
+        for units, lengths, rows, n in got:
+            total = np.bincount(rows, np.repeat(pieces[at : at + len(units)], lengths) * n).astype(np.int64)  # exact below 2^53
+            at += len(units)
+            entries = []
+            while total.any():
+                some = np.flatnonzero(total)
+                entry = np.empty(len(some), _SUM)
+                entry["row"], entry["n"] = some, np.minimum(total[some], 2**32 - 1)
+                total[some] -= entry["n"]
+                entries.append(entry["row"].tobytes() + entry["n"].tobytes())
+            sums.append(b"".join(struct.pack("<q", len(x) // 6) + x for x in entries))
+        made = pa.table({"block": rest["block"], "is_meta": pa.array([False] * len(sums)), "payload": pa.array([_zip(x) for x in sums], pa.binary())})
+        return pa.concat_tables([meta.select(["block", "is_meta", "payload"]), made])
+
+    return count
 
 
 def _sum_block(table: pa.Table) -> pa.Table:
-    meta = table["payload"].filter(pc.is_null(table["n_pieces"]))[0].as_py()
+    meta = table.filter(table["is_meta"])["payload"][0].as_py()
     n = len(meta) // 17
     ids, size, valid = np.frombuffer(meta, "<i8", n), np.frombuffer(meta, "<i8", n, 8 * n), np.frombuffer(meta, "u1", n, 16 * n).astype(bool)
-    rest = table.filter(pc.is_valid(table["n_pieces"]))
-    entries = np.frombuffer(b"".join(rest["payload"].to_pylist()), [("row", "<u2"), ("n", "<u2")])
-    lengths = pc.binary_length(rest["payload"]).to_numpy().astype(np.int64) // 4
-    pieces = np.repeat(rest["n_pieces"].to_numpy().astype(np.int64), lengths)
     total = np.zeros(n, np.int64)
-    np.add.at(total, entries["row"].astype(np.int64), pieces * entries["n"])
+    for x in table.filter(pc.invert(table["is_meta"]))["payload"].to_pylist():
+        data, at = _unzip(x), 0
+        while at < len(data):
+            (m,) = struct.unpack_from("<q", data, at)
+            total[np.frombuffer(data, "<u2", m, at + 8)] += np.frombuffer(data, "<u4", m, at + 8 + 2 * m)
+            at += 8 + 6 * m
     return pa.table([pa.array(ids, mask=~valid), pa.array(size), pa.array(total)], ["doc_id", "n_bytes", "n_tokens"])
 
 
-def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", n_buckets: int | None = None, block_bytes: int = 12 << 20) -> DataFrame:
     """One row (doc_id, n_bytes, n_tokens) per row of ``docs``.
 
     tokenizer: path of a ``tokenizers`` file with white space between words dropped, as in word_bpe_49k.json. Special
     strings in a text count as the library's default has it; nothing is added, cut or padded. A null text counts as
     empty: 0 bytes, 0 tokens. Null and repeated ids keep their rows. Other columns of ``docs`` are ignored; an empty
-    table gives no rows. Blocks follow the order in which a scan reads rows: give a table, not a shuffled plan."""
+    table gives no rows. Blocks follow the order in which a scan reads rows: give a table, not a shuffled plan.
+    n_buckets: of pre-tokens, by default the session's shuffle partitions."""
+    n_buckets = n_buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    freq = rows.mapInArrow(_block_rows, "pretoken string, block long, payload binary")
-
-    def count(batches):
-        own = encoder(tokenizer)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.lengths(batch.column(0)).astype("i4"))], ["pretoken", "n_pieces"])
-
-    distinct = freq.select("pretoken").where(~F.col("pretoken").startswith(" ")).distinct()
-    pieces = distinct.mapInArrow(count, "pretoken string, n_pieces int")
-    return freq.join(pieces, "pretoken", "left").groupBy("block").applyInArrow(_sum_block, "doc_id long, n_bytes long, n_tokens long")
+    dealt = rows.mapInArrow(_block_rows(n_buckets, block_bytes), _ROWS)
+    sums = dealt.groupBy("bucket").applyInArrow(_count_bucket(tokenizer), "block long, is_meta boolean, payload binary")
+    return sums.groupBy("block").applyInArrow(_sum_block, "doc_id long, n_bytes long, n_tokens long")
