@@ -57,6 +57,26 @@ def _running(rows: DataFrame, sums: DataFrame) -> DataFrame:
     return out.withColumn("before", (F.col("__k") + F.col("__first")).cast("long")).drop("__k", "__first", "__b", "__h", "__s", "__sb")
 
 
+def _planned(rows: DataFrame, sums: DataFrame, weigh, most: float) -> DataFrame:
+    sizes = sums.groupBy("source").agg(F.sum("__sum").cast("long").alias("source_size"))
+    rows = _running(rows, sums)
+    by_source = targets(weigh(sizes), most).select(F.col("source").alias("__s"), "source_size", "target", "tilt")
+    out = rows.join(by_source, rows["source"].eqNullSafe(F.col("__s")), "left").drop("__s")
+    whole = F.floor(F.col("target"))
+    times = F.when(F.col("source_size") > 0, F.floor(whole / F.col("source_size"))).otherwise(0)
+    left = whole - times * F.col("source_size")
+    extra = F.greatest(F.lit(0), F.least(F.col("size"), left - F.col("before")))
+    return out.withColumn("taken", (times * F.col("size") + extra).cast("long"))
+
+
+def _keyed(rows: DataFrame, buckets: int, seed: int) -> DataFrame:
+    return rows.withColumn("__h", F.xxhash64(F.lit(seed), "doc_id", "size")).withColumn("__b", F.shiftrightunsigned("__h", 64 - (buckets - 1).bit_length()))
+
+
+def _sums(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("source", "__b").agg(F.sum("size").alias("__sum"))
+
+
 def plan_mix(docs: DataFrame, weigh=cyclic_weights, most: float = 3.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", buckets: int = 512, seed: int = 8) -> DataFrame:
     """Per document: doc_id, source, size (words), source_size, target, tilt, before (words ahead of it in its source's
     order) and taken (words the mix takes, repeats counted).
@@ -67,17 +87,25 @@ def plan_mix(docs: DataFrame, weigh=cyclic_weights, most: float = 3.0, id_col: s
     texts without words have size 0 and give 0 words; a null source is a source of its own, last. Empty table: no rows."""
     size = word_count(F.col(text_col).cast("string"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"))
-    rows = written(rows, "mix")  # ids and sizes only: texts are read once
-    rows = rows.withColumn("__h", F.xxhash64(F.lit(seed), "doc_id", "size")).withColumn("__b", F.shiftrightunsigned("__h", 64 - (buckets - 1).bit_length()))
-    sums = rows.groupBy("source", "__b").agg(F.sum("size").alias("__sum"))
-    rows, sizes = _running(rows, sums), sums.groupBy("source").agg(F.sum("__sum").cast("long").alias("source_size"))
-    by_source = targets(weigh(sizes), most).select(F.col("source").alias("__s"), "source_size", "target", "tilt")
-    out = rows.join(by_source, rows["source"].eqNullSafe(F.col("__s")), "left").drop("__s")
-    whole = F.floor(F.col("target"))
-    times = F.when(F.col("source_size") > 0, F.floor(whole / F.col("source_size"))).otherwise(0)
-    left = whole - times * F.col("source_size")
-    extra = F.greatest(F.lit(0), F.least(F.col("size"), left - F.col("before")))
-    return out.withColumn("taken", (times * F.col("size") + extra).cast("long"))
+    rows = _keyed(written(rows, "mix"), buckets, seed)  # ids and sizes only: texts are read once
+    return _planned(rows, _sums(rows), weigh, most)
+
+
+def mix_documents(docs: DataFrame, weigh=cyclic_weights, most: float = 3.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", buckets: int = 512, seed: int = 8) -> DataFrame:
+    """The rows of ``docs`` as the plan takes them, in training order: a document taken n times has n rows, and one taken
+    in part ends after that many words. Documents of which nothing is taken are left out.
+
+    Rows travel with their texts twice: into the source's hash ranges, and into the order of positions."""
+    size = word_count(F.col(f"`{text_col}`").cast("string"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"), size.alias("size"), whole.alias("row"))
+    rows = _keyed(rows, buckets, seed)
+    plan = _planned(rows, written(_sums(rows.drop("row")), "mix-sums"), weigh, most)
+    copies = _copies(plan).orderBy("position", F.col("doc_id").asc_nulls_first(), "copy")
+    text = F.col(f"row.`{text_col}`")
+    part = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD_PATTERN), F.lit(0)), 1, F.col("words").cast("int")), "")
+    text = F.when(F.col("words") < F.col("size"), part).otherwise(text)
+    return copies.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def position(copy: Column) -> Column:
@@ -89,12 +117,15 @@ def position(copy: Column) -> Column:
     return F.when(F.col("taken") > 0, t + F.lit(0.0))
 
 
+def _copies(plan: DataFrame) -> DataFrame:
+    n = F.ceil(F.col("taken") / F.greatest(F.col("size"), F.lit(1))).cast("int")
+    copies = plan.where(F.col("taken") > 0).withColumn("copy", F.explode(F.sequence(F.lit(0), n - 1)))
+    words = F.least(F.col("size"), F.col("taken") - F.col("copy") * F.col("size")).cast("long")
+    return copies.withColumn("words", words).withColumn("position", position(F.col("copy")))
+
+
 def mixed_order(plan: DataFrame) -> DataFrame:
     """One row per copy (doc_id, source, copy, words, position), range-sorted into training order; ties by doc_id, copy.
 
     A document has at most ``most`` + 1 copies."""
-    n = F.ceil(F.col("taken") / F.greatest(F.col("size"), F.lit(1))).cast("int")
-    copies = plan.where(F.col("taken") > 0).withColumn("copy", F.explode(F.sequence(F.lit(0), n - 1)))
-    words = F.least(F.col("size"), F.col("taken") - F.col("copy") * F.col("size")).cast("long")
-    out = copies.select("doc_id", "source", "copy", words.alias("words"), position(F.col("copy")).alias("position"))
-    return out.orderBy("position", F.col("doc_id").asc_nulls_first(), "copy")
+    return _copies(plan).select("doc_id", "source", "copy", "words", "position").orderBy("position", F.col("doc_id").asc_nulls_first(), "copy")
