@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, near_dup, packing, passages, quality, sharding, token_counts, topk
+from . import line_dedup, mixing, near_dup, packing, passages, quality, sharding, suffix_dedup, token_counts, topk
 
 CONTEXT = 2048
 
@@ -61,12 +61,17 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "source", "size", "source_size", "target", "taken", "position")
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20, 64)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_quality, op3_near_duplicates, op4_lines, op5_pack, op6_passages, op7_shards, op8_mix, op10_top_k)}
+    return {f.__name__: f for f in (op1_token_counts, op2_quality, op3_near_duplicates, op4_lines, op5_pack, op6_passages, op7_shards, op8_mix, op9_repeats, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
