@@ -74,5 +74,55 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_token_counts, op2_quality, op3_near_duplicates, op4_lines, op5_pack, op6_passages, op7_shards, op8_mix, op9_repeats, op10_top_k)}
 
 
+_LINES = """
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+h AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.doc_id, k.i, k.line, h.key IS NOT NULL AND k.doc_id <> h.last AS gone FROM k LEFT JOIN h ON k.key = h.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id
+"""
+
+_TOP = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+def _quality_sql() -> str:
+    """Measures by windows over words and lines, sketches by bucket, fences by quartile, then the verdict."""
+    ratios = quality.RATIOS
+    values = ", ".join(f"('{k}', CASE WHEN {per} > 0 THEN {of} * {times} // {per} ELSE 0 END)" for k, (of, per, times, _, _) in ratios.items())
+    high = {k: f"q3 + {quality.REACH} * (q3 - q1) + {x[3]}" for k, x in ratios.items()}
+    low = {k: f"q1 - {quality.REACH} * (q3 - q1) - {x[3]}" for k, x in ratios.items() if x[4]}
+    limits = "CASE ratio " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in high.items()) + " END AS hi, CASE ratio " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in low.items()) + " ELSE -1 END AS lo"
+    quartiles = "min(CASE WHEN below * 100 >= total * 25 THEN bucket END) AS q1, min(CASE WHEN below * 100 >= total * 75 THEN bucket END) AS q3, max(total) AS n_docs"
+
+    def fences(keys: str) -> str:
+        by = f"PARTITION BY {keys}, ratio" if keys else "PARTITION BY ratio"
+        group = f"{keys}, ratio" if keys else "ratio"
+        lead = f"{keys}, " if keys else ""
+        return f"(SELECT {lead}ratio, n_docs, {limits} FROM (SELECT {lead}ratio, {quartiles} FROM (SELECT {lead}ratio, bucket, sum(n) OVER ({by} ORDER BY bucket) AS below, sum(n) OVER ({by}) AS total FROM (SELECT {lead}ratio, bucket, sum(n) AS n FROM sk GROUP BY {group}, bucket)) GROUP BY {group}))"
+
+    return f"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS w0, generate_subscripts(ws, 1) AS i FROM d),
+t AS (SELECT *, lead(w0, 1) OVER o AS w1, lead(w0, 2) OVER o AS w2 FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w0, w1, w2) AS c FROM t WHERE w2 IS NOT NULL) WHERE c >= 2),
+rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM r CROSS JOIN (VALUES (0), (1), (2)) v(k) GROUP BY doc_id),
+ln AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+m AS (SELECT d.doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines FROM d LEFT JOIN rep ON rep.doc_id = d.doc_id LEFT JOIN ln ON ln.doc_id = d.doc_id),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+v AS (SELECT b.doc_id, b.lang, b.source, b.base_failed, x.ratio, CAST(x.v AS BIGINT) AS v FROM b CROSS JOIN LATERAL (VALUES {values}) x(ratio, v)),
+sk AS (SELECT lang, source, ratio, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS bucket, count(*) AS n FROM v WHERE NOT base_failed GROUP BY ALL),
+f AS (SELECT g.lang, g.source, g.ratio, CASE WHEN g.n_docs >= {quality.LEAST} THEN g.hi WHEN l.n_docs >= {quality.LEAST} THEN l.hi ELSE a.hi END AS hi, CASE WHEN g.n_docs >= {quality.LEAST} THEN g.lo WHEN l.n_docs >= {quality.LEAST} THEN l.lo ELSE a.lo END AS lo
+ FROM {fences("lang, source")} g JOIN {fences("lang")} l ON l.ratio = g.ratio AND l.lang IS NOT DISTINCT FROM g.lang JOIN {fences("")} a ON a.ratio = g.ratio),
+ok AS (SELECT v.doc_id, bool_and(coalesce(v.v <= f.hi AND (v.v >= f.lo OR v.ratio <> 'word_length'), true)) AS fine FROM v LEFT JOIN f ON f.ratio = v.ratio AND f.lang IS NOT DISTINCT FROM v.lang AND f.source IS NOT DISTINCT FROM v.source GROUP BY v.doc_id)
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed, NOT base_failed AND fine AS kept FROM b JOIN ok ON ok.doc_id = b.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the three that it can express in whole; the others have brute-force tests."""
+    return {"op2_quality": _quality_sql(), "op4_lines": _LINES, "op10_top_k": _TOP}

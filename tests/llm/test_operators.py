@@ -1,0 +1,371 @@
+"""The corpus operators against brute force, on documents with every awkward case."""
+
+from __future__ import annotations
+
+import hashlib
+import os
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import line_dedup, mixing, near_dup, packing, passages, quality, sharding, suffix_dedup, token_counts, topk
+from ledgerloom.llm._gsaca import suffix_array
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+PATH = public_tokenizers.path("word_bpe_49k.json")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return docs.collect()
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(PATH)
+
+
+def test_token_counts(docs, rows, none, library):
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_tokens) for r in token_counts.token_counts(docs, PATH, block_bytes=5000).collect())
+    assert got == sorted((str(r.doc_id), len((r.text or "").encode()), len(library.encode(r.text or "", add_special_tokens=False).ids)) for r in rows)
+    assert token_counts.token_counts(none, PATH).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(list(" \n.,;:!?'aZéÀß<|>")))))
+def test_units_give_the_librarys_ids(text):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(PATH) if not hasattr(test_units_give_the_librarys_ids, "t") else test_units_give_the_librarys_ids.t
+    test_units_give_the_librarys_ids.t = own
+    ids, _ = packing.token_ids(pa.array([text], pa.large_string()), PATH, 1)
+    assert ids.tolist() == [*own.encode(text, add_special_tokens=False).ids, 1]
+
+
+def test_pack(docs, rows, none, library):
+    got = packing.pack(docs, PATH).collect()
+    want, have = Counter(), defaultdict(list)
+    for r in rows:
+        want[(r.doc_id, tuple([*library.encode(r.text or "", add_special_tokens=False).ids, 1]))] += 1
+    texts = defaultdict(set)
+    for (i, ids), _n in want.items():
+        texts[i].add(ids)
+    for p in got:
+        assert any(len(t) == p.doc_tokens and zlib.crc32(np.array(t[p.start : p.start + p.length], "<u4").tobytes()) == p.ids_crc32 for t in texts[p.doc_id])
+        have[p.sequence_id].append(p)
+    assert sum(p.length for p in got) == sum(len(ids) * n for (_, ids), n in want.items())
+    padding = 0
+    for ps in have.values():
+        at = 0
+        for p in sorted(ps, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= 2048
+        padding += 0 if at & (at - 1) == 0 else 2048 - at
+    assert padding <= 2048 + 0.03 * sum(p.length for p in got)
+    assert packing.pack(none, PATH).count() == 0
+
+
+@given(st.integers(0, 10_000))
+def test_cuts(n):
+    out = packing.cuts(n, 2048)
+    assert sum(out) == n and all(0 < x <= 2048 for x in out) and len(out) <= n // 2048 + 8
+
+
+def measures(text):
+    w = WORD.findall(text or "")
+    c = Counter(zip(w, w[1:], w[2:], strict=False))
+    covered = {i + j for i in range(len(w) - 2) if c[tuple(w[i : i + 3])] > 1 for j in range(3)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality(docs, rows, none):
+    got = quality.quality_report(docs).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got) == sorted((str(r.doc_id), *(m := measures(r.text)), m[0] < 50 or 100 * m[4] > 50 * m[0]) for r in rows)
+    assert not any(r.kept and r.base_failed for r in got)
+    kept = quality.quality_filter(docs)
+    assert kept.columns == docs.columns
+    assert Counter(str(r.doc_id) for r in kept.collect()) == Counter(str(r.doc_id) for r in got if r.kept)
+    assert quality.quality_report(none).count() == quality.quality_filter(none).count() == 0
+
+
+def test_sketches_merge(spark, docs):
+    scored = quality.measured(docs.select("text", "lang", "source"), "text").select("row.lang", "row.source", *quality.MEASURES)
+    whole = quality.sketches(scored, ["lang"])
+    merged = quality.merged(quality.sketches(scored, ["lang", "source"]), ["lang"])
+    assert sorted(map(str, whole.collect())) == sorted(map(str, merged.select(whole.columns).collect()))
+
+
+def brute_classes(rows, similarity=0.8):
+    sets, root = {}, {}
+    for r in rows:
+        w = WORD.findall(r.text or "")
+        if r.doc_id is not None:
+            root[r.doc_id] = r.doc_id
+            if w:
+                sets[r.doc_id] = Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            if a < b and (both := sum((sets[a] & sets[b]).values())) >= similarity * (sum(sets[a].values()) + sum(sets[b].values()) - both):
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    return {i: top(i) for i in root}
+
+
+def test_near_duplicates(docs, rows, none):
+    got = near_dup.near_duplicates(docs).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: r.class_id for r in got if r.doc_id is not None} == brute_classes(rows)
+    assert near_dup.near_duplicates(none).count() == 0
+    kept = near_dup.drop_near_duplicates(docs)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted([*map(str, {r.class_id for r in got if r.doc_id is not None}), "None"])
+
+
+def test_links_past_the_smallest_id(spark):
+    """A chain of edits: neighbours are alike, ends are not; all are one class."""
+    rng = random.Random(3)
+    words = [f"w{rng.randint(0, 10**6)}" for _ in range(400)]
+    out = []
+    for i in range(12):
+        out.append((11 - i, " ".join(words)))
+        for _ in range(6):
+            words[rng.randrange(400)] = f"n{rng.randint(0, 10**6)}"
+    df = spark.createDataFrame(out, "doc_id LONG, text STRING")
+    assert {r.doc_id: r.class_id for r in near_dup.near_duplicates(df).collect()} == brute_classes(df.collect())
+
+
+def test_signatures_estimate_weighted_similarity():
+    rng = random.Random(1)
+    a = [f"w{rng.randint(0, 300)}" for _ in range(3000)]
+    b = a[:2400] + [f"v{rng.randint(0, 300)}" for _ in range(600)]
+    texts = pa.array([" ".join(a), " ".join(b)], pa.large_string())
+    row, h, weight = near_dup.elements(texts, 1)
+    sig = near_dup.dart_signatures(row, h, weight, 2, 2000)
+    ca, cb = Counter(a), Counter(b)
+    true = sum((ca & cb).values()) / sum((ca | cb).values())
+    assert abs((sig[0] == sig[1]).mean() - true) < 0.04
+
+
+def brute_lines(rows):
+    key = lambda x: x.strip(" \t\n\x0b\f\r").translate({c: c + 32 for c in range(65, 91)})
+    holders = defaultdict(list)
+    for r in rows:
+        for k in {key(x) for x in (r.text or "").split("\n")}:
+            if len(k) >= 20:
+                holders[k].append(r.doc_id)
+    last = {k: max([i for i in v if i is not None], default=None) for k, v in holders.items() if len(v) >= 3}
+    out = []
+    for r in rows:
+        lines = (r.text or "").split("\n")
+        stay = [x for x in lines if key(x) not in last or last[key(x)] is None or last[key(x)] == r.doc_id]
+        out.append((str(r.doc_id), len(lines), len(lines) - len(stay), "\n".join(stay)))
+    return sorted(out)
+
+
+def test_lines(docs, rows, none):
+    for batches, fanout in ((1, 4), (5, 2)):
+        out = line_dedup.dedup_lines(docs, n_batches=batches, fanout=fanout)
+        assert sorted((str(r.doc_id), r.n_lines, r.n_dropped, r.text) for r in out.collect()) == brute_lines(rows)
+    assert line_dedup.dedup_lines(none).count() == 0
+
+
+def test_passages(docs, rows, none):
+    seen, first = defaultdict(list), {}
+    for r in rows:
+        for a, b in passages.units(r.text or "", "sentence"):
+            w = (r.text or "")[a:b].lower().split()
+            if len(w) >= 5:
+                seen[" ".join(w)].append((r.doc_id is not None, r.doc_id or 0, r.text, a))
+    first = {k: min(v, key=lambda x: (x[0], x[1], x[3])) for k, v in seen.items()}
+    for r, got in zip(sorted(rows, key=lambda r: (str(r.doc_id), r.text or "")), sorted(passages.dedup_passages(docs).collect(), key=lambda r: (str(r.doc_id), r.text or "")), strict=True):
+        assert r.doc_id == got.doc_id
+        cut = [(a, b) for a, b in passages.units(r.text or "", "sentence") if len(w := (r.text or "")[a:b].lower().split()) >= 5 and first[" ".join(w)] != (r.doc_id is not None, r.doc_id or 0, r.text, a)]
+        assert [(s.start, s.stop) for s in got.removed or []] == cut
+    assert passages.dedup_passages(none).count() == 0
+
+
+@given(st.text())
+def test_units_cover_whole_texts(text):
+    for kind in ("sentence", "line"):
+        spans = list(passages.units(text, kind))
+        assert all(a < b for a, b in spans) and all(x[1] <= y[0] for x, y in zip(spans, spans[1:], strict=False))
+        assert sum(b - a for a, b in spans) == len(text) - text.count("\n")
+
+
+def test_shards(docs, rows, none):
+    out = sharding.place(sharding.shard_documents(docs, sharding.even_tree(8)), sharding.even_tree(9), "doc_id", "grown")
+    got = out.collect()
+    assert len(got) == len(rows)
+    by = defaultdict(list)
+    for r in got:
+        by[r.shard].append(r.slot)
+        assert r.grown in (r.shard, 8)
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+    assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in got) == sorted((str(r.doc_id), len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in rows)
+    assert sharding.shard_documents(none, sharding.even_tree(8)).count() == 0
+
+
+def test_moves_stay_in_changed_subtrees(spark):
+    ids = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    tree = [(0, 0, 0, 1.0), (0, 0, 1, 1.0), (0, 1, 2, 1.0), (1, 2, 3, 2.0), (1, 2, 4, 1.0)]
+    heavier = [x if x[2] != 4 else (1, 2, 4, 3.0) for x in tree]
+    both = sharding.place(sharding.place(ids, tree, out="a"), heavier, out="b")
+    n = both.groupBy("a").count().collect()
+    assert {r.a: round(r["count"] / 20_000 * 6) for r in n} == {0: 1, 1: 1, 2: 1, 3: 2, 4: 1}
+    moved = both.where("a <> b").select("a", "b").distinct().collect()
+    assert all(r.b in (3, 4) for r in moved) and all(r.b == 4 for r in moved if r.a == 3)
+
+
+def test_mix(docs, rows, none):
+    got = mixing.plan_mix(docs).collect()
+    sizes, words = Counter(), {}
+    for r in rows:
+        sizes[r.source] += len(WORD.findall(r.text or ""))
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: 1 + i % 3 for i, s in enumerate(order)}
+    total, capped = sum(sizes.values()), {}
+    while True:
+        free = [s for s in order if s not in capped]
+        rest = total - sum(capped.values())
+        target = {s: rest * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = [s for s in free if target[s] > 3 * sizes[s]]
+        if not over:
+            break
+        capped |= {s: 3.0 * sizes[s] for s in over}
+    target |= capped
+    taken = Counter()
+    for r in got:
+        assert r.target == pytest.approx(target[r.source]) and r.source_size == sizes[r.source] and 0 <= r.taken <= 3 * r.size
+        taken[r.source] += r.taken
+    assert all(abs(taken[s] - target[s]) <= 1 for s in order) and len(got) == len(rows) and not words
+    again = sorted(map(str, mixing.plan_mix(docs.repartition(5)).collect()))
+    assert again == sorted(map(str, got))
+    assert mixing.plan_mix(none).count() == 0
+
+
+def test_mixed_documents(docs):
+    plan = mixing.plan_mix(docs)
+    copies = mixing.mixed_order(plan).collect()
+    assert [c.position for c in copies] == sorted(c.position for c in copies) and all(-1e-9 <= c.position < 1 for c in copies)
+    out = mixing.mix_documents(docs)
+    assert out.columns == docs.columns
+    got = Counter((str(r.doc_id), len(WORD.findall(r.text or ""))) for r in out.collect())
+    assert got == Counter((str(c.doc_id), c.words) for c in copies)
+
+
+def brute_repeats(rows, width=100):
+    seen, out = set(), []
+    texts = {(r.doc_id is not None, r.doc_id or 0, (r.text or "").encode()) for r in rows}
+    for has, i, b in sorted(texts):
+        mask, end = bytearray(len(b)), 0
+        for q in range(len(b) - width + 1):
+            if b[q : q + width] in seen:
+                s = max(q, end)
+                mask[s : q + width] = b"\x01" * (q + width - s)
+                end = q + width
+            else:
+                seen.add(b[q : q + width])
+        out.append((has, i, len(b), sum(mask), len(re.findall(rb"\x01+", bytes(mask))), hashlib.sha256(bytes(c for c, m in zip(b, mask, strict=True) if not m)).hexdigest()))
+    return out
+
+
+def test_repeats(docs, rows, none):
+    got = {(r.doc_id is not None, r.doc_id or 0, r.n_bytes, r.n_removed, len(r.removed), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert got == set(brute_repeats(rows))
+    assert suffix_dedup.remove_repeats(none).count() == 0
+
+
+def test_crowded_anchors(docs, rows, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "MOST_CONTEXTS", 2)
+    monkeypatch.setattr(suffix_dedup, "BIN_BYTES", 1000)
+    got = {(r.doc_id is not None, r.doc_id or 0, r.n_bytes, r.n_removed, len(r.removed), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert got == set(brute_repeats(rows))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(st.binary(max_size=60), st.text("ab", max_size=80).map(str.encode)))
+def test_suffix_array(data):
+    assert suffix_array(data) == sorted(range(len(data)), key=lambda i: data[i:])
+
+
+VECTORS = "vec_id LONG, embedding ARRAY<FLOAT>, shard INT, q INT"
+
+
+def test_top_k(spark):
+    rng = random.Random(2)
+    rows = [(i, [float(rng.choice([-1.0, 0.5, 0.25, rng.random()])) for _ in range(8)], 1, 2) for i in range(300)]
+    rows[7] = (7, rows[8][1], 1, 2)
+    rows += [(400, None, 1, 2), (420, [1.0, None], 1, 2), (440, [float("nan")] * 8, 1, 2), (460, [float("inf")] * 8, 1, 2), (None, [1.0] * 8, 1, 2), (480, [1.0, 2.0], 1, 2), (500, [], 1, 2), rows[40]]
+    df = spark.createDataFrame(rows, VECTORS).repartition(4)
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, 20, 64, shard_rows=64, group_rows=5, block=16).collect()
+    good = [(i, [int(np.floor(64 * np.float64(np.float32(x)))) for x in v]) for i, v, *_ in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    want = set()
+    for i, v in {i: v for i, v in good if i % 20 == 0}.items():
+        scores = sorted((-sum(a * b for a, b in zip(v, w, strict=False)), j) for j, w in good if j != i)[:20]
+        want |= {(i, k, j, -s) for k, (s, j) in enumerate(scores, 1)}
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got} == want
+    assert topk.top_k(spark.createDataFrame([], VECTORS), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_huge_components(spark):
+    df = spark.createDataFrame([(0, [2.0e6, -3.0e6]), (1, [2.0e6, 1.0]), (2, [-1.0, 5.0e6])], "vec_id LONG, embedding ARRAY<DOUBLE>")
+    got = {(r.query_id, r.vec_id): r.score for r in topk.top_k(df, F.col("vec_id") == 0).collect()}
+    assert got == {(0, 1): 4096 * (2_000_000**2 - 3_000_000), (0, 2): 4096 * (-2_000_000 - 15_000_000_000_000)}
+
+
+def test_pipeline(spark, docs, tmp_path):
+    import corpus_pipeline
+
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    names = docs.columns
+    now, frames = docs, []
+    for k, (_name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, now, str(tmp_path)).write.parquet(str(tmp_path / str(k)))
+        now = spark.read.parquet(str(tmp_path / str(k)))
+        frames.append(now)
+        if k < 4:
+            assert now.columns == names
+    kept, lines, near, mixed, packed = (f.collect() for f in frames)
+    assert all(not (m := measures(r.text))[0] < 50 and 100 * m[4] <= 50 * m[0] for r in kept)
+    assert sorted((str(r.doc_id), r.text) for r in lines) == sorted((i, t) for i, _, _, t in brute_lines(kept))
+    classes = brute_classes(lines)
+    assert sorted(r.doc_id for r in near if r.doc_id is not None) == sorted(set(classes.values()))
+    assert sum(len(WORD.findall(r.text)) for r in mixed) == pytest.approx(sum(len(WORD.findall(r.text)) for r in near), abs=10)
+    assert {str(p.doc_id) for p in packed} == {str(r.doc_id) for r in mixed}
+    run = corpus_pipeline.run(spark, str(tmp_path))
+    assert run.columns == frames[-1].columns and run.count() == len(packed)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the test tables")
+def test_sql(spark):
+    import duckdb
+
+    from ledgerloom.llm import queries
+
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
+    for name, sql in queries.oracle_sql().items():
+        ours, theirs = queries.queries()[name](spark, "/root/testdata/sf0.001").toPandas(), con.sql(sql).df()
+        cols = sorted(ours.columns)
+        assert cols == sorted(theirs.columns), name
+        assert sorted(map(tuple, ours[cols].astype(str).values)) == sorted(map(tuple, theirs[cols].astype(str).values)), name
