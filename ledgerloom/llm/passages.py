@@ -1,9 +1,10 @@
 """Repeated passages by hashing normalised units of text.
 
-A text is cut into units: lines, and inside them sentences (a unit ends behind ``.``, ``!`` or ``?`` before white space),
-as passages are often pasted into the middle of a line. A unit's digest is that of its words in lower case, so spacing
+A text is cut into units: lines, and inside them sentences or their parts (a unit ends behind one of ``.!?,;:`` before
+white space, once it has enough words), as passages are often pasted into the middle of a line. A unit's digest is that of its words in lower case, so spacing
 doesn't matter. Digests are grouped over the corpus; the earliest occurrence by (doc_id, place) stays, the others are
-removed, and their offsets in the original text are kept beside the result."""
+removed, and their offsets in the original text are kept beside the result. Of a passage pasted into running text the
+sentences at its two ends are part of units that hold the text around them, and stay."""
 
 from __future__ import annotations
 
@@ -18,15 +19,22 @@ from pyspark.sql import functions as F
 
 from ._shared import text_array
 
-_UNIT = re.compile(r"[^\n]*?(?:[.!?]+(?=[ \t])|(?=\n)|\Z)", re.DOTALL)
+_END = re.compile(r"[.!?,;:]+(?=[ \t])")
 _LINE = re.compile(r"[^\n]+")
 
 
-def units(text: str, kind: str) -> Iterator[tuple[int, int]]:
-    """(start, end) of the text's units, in code points."""
-    for m in (_LINE if kind == "line" else _UNIT).finditer(text):
-        if m.end() > m.start():
-            yield m.start(), m.end()
+def units(text: str, kind: str, min_words: int = 1) -> Iterator[tuple[int, int]]:
+    """(start, end) of the text's units, in code points. A sentence of fewer than ``min_words`` words goes on into the next
+    of its line, so that short ones inside a passage leave no gaps."""
+    for line in _LINE.finditer(text):
+        at, end = line.span()
+        if kind == "sentence":
+            for m in _END.finditer(text, at, end):
+                if min_words == 1 or len(text[at : m.end()].split()) >= min_words:
+                    yield at, m.end()
+                    at = m.end()
+        if at < end:
+            yield at, end
 
 
 def digest(words: list[str]) -> bytes:
@@ -39,7 +47,7 @@ def _unit_rows(kind: str, min_words: int):
             found, start, stop, count = [], [], [], []
             for text in text_array(batch.column(2)).to_pylist():
                 n = 0
-                for a, b in units(text, kind):
+                for a, b in units(text, kind, min_words):
                     words = text[a:b].lower().split()
                     if len(words) >= min_words:
                         found.append(digest(words))
@@ -53,7 +61,7 @@ def _unit_rows(kind: str, min_words: int):
     return rows
 
 
-def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: str = "sentence", min_words: int = 5) -> DataFrame:
+def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: str = "sentence", min_words: int = 8) -> DataFrame:
     """(doc_id, version, start, stop) of each unit that an earlier place holds too; version is a hash of the text.
 
     Counts and first places are aggregated before the shuffle. The join back to all units is on the digest, where Spark
@@ -77,7 +85,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.string()), batch.column("spans")], ["doc_id", "text", "removed"])
 
 
-def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: str = "sentence", min_words: int = 5) -> DataFrame:
+def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: str = "sentence", min_words: int = 8) -> DataFrame:
     """One row per row of ``docs``: doc_id, text (what stays), removed (array of (start, stop) in the original's code points).
 
     kind: "sentence" or "line". Units of fewer than ``min_words`` words always stay. A null text counts as empty. Rows that

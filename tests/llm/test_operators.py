@@ -191,14 +191,14 @@ def test_lines(docs, rows, none):
 def test_passages(docs, rows, none):
     seen, first = defaultdict(list), {}
     for r in rows:
-        for a, b in passages.units(r.text or "", "sentence"):
+        for a, b in passages.units(r.text or "", "sentence", 8):
             w = (r.text or "")[a:b].lower().split()
-            if len(w) >= 5:
+            if len(w) >= 8:
                 seen[" ".join(w)].append((r.doc_id is not None, r.doc_id or 0, r.text, a))
     first = {k: min(v, key=lambda x: (x[0], x[1], x[3])) for k, v in seen.items()}
     for r, got in zip(sorted(rows, key=lambda r: (str(r.doc_id), r.text or "")), sorted(passages.dedup_passages(docs).collect(), key=lambda r: (str(r.doc_id), r.text or "")), strict=True):
         assert r.doc_id == got.doc_id
-        cut = [(a, b) for a, b in passages.units(r.text or "", "sentence") if len(w := (r.text or "")[a:b].lower().split()) >= 5 and first[" ".join(w)] != (r.doc_id is not None, r.doc_id or 0, r.text, a)]
+        cut = [(a, b) for a, b in passages.units(r.text or "", "sentence", 8) if len(w := (r.text or "")[a:b].lower().split()) >= 8 and first[" ".join(w)] != (r.doc_id is not None, r.doc_id or 0, r.text, a)]
         assert [(s.start, s.stop) for s in got.removed or []] == cut
     assert passages.dedup_passages(none).count() == 0
 
