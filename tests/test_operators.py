@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text
-from ledgerloom.operators import evaluation, facts, sections, state
+from ledgerloom.operators import evaluation, facts, renderers, sections, state
 from ledgerloom.operators import transcripts as t
 from ledgerloom.plans import skills
-from ledgerloom.sources import sinks, tables
+from ledgerloom.sources import scraped, sinks, tables
 from ledgerloom.streaming import usage
 
 PEOPLE = [(1, 0, "Patrick Gelsinger", "CEO", "Intel"), (1, 1, "David Zinsner", "CFO", "Intel"), (1, 2, "Ross Seymore", "Analyst", "Deutsche Bank")]
@@ -143,3 +143,42 @@ def test_streams(spark, tmp_path):
 def test_input_errors(spark):
     df = spark.createDataFrame([(" msft ", "q1", "2020"), ("BRK.B", "Q1", "2020"), ("A", "Q5", "2020"), ("A", "Q1", "20"), (None, "Q1", "2020")], "a STRING, b STRING, c STRING")
     assert [r[0] for r in df.select(t.input_error(F.col("a"), F.col("b"), F.col("c"))).collect()] == [None, "ticker", "quarter", "year", "ticker"]
+
+
+RESULT = {
+    "forward_guidance": {"hard_guidance": [{"metric": "Revenue|x", "value": "$1B"}], "soft_guidance": [{"area": "大幅", "direction": "up", "detail": "d"}], "implied_signals": ["警訊"]},
+    "market_concerns": [{"topic": "Margin", "frequency": 2, "management_response": "ok", "verbatim_response": "a\nb"}],
+    "competitive_pressure_signals": [{"severity": "high", "summary_zh": "s", "quote": "q", "market": "m", "vs_prior_quarter": "easing"}],
+    "supply_chain_risks": [{"category": "price", "title": "t", "summary": "s"}],
+    "purchase_commitments": {"found": True, "total_commitment_description": "x", "commitment_to_revenue_pct": "5%"},
+}
+
+
+def test_rendered_results(spark):
+    df = spark.createDataFrame([(1, json.dumps(RESULT)), (2, "{}")], "entity INT, result STRING")
+    lines = {(r.entity, r.section_no, r.line_no): r.text for r in renderers.rendered(df, renderers.GUIDANCE).collect()}
+    assert lines[(1, 0, 1)] == "| Revenue\\|x | $1B | — | — |  |" and lines[(2, 0, 0)] == "（本季無硬性指引）"
+    assert lines[(1, 1, 1)] == "- ****（up）：d" and lines[(1, 3, 1)] == "- 需留意" and (2, 1, 0) not in lines
+    assert {r.entity: r.text for r in renderers.concerns(df).collect()} == {1: "### Margin（被問 2 次）\n\n**管理層回應**：ok\n\n> a\n> b", 2: renderers.NO_CONCERNS}
+    assert [r.text for r in renderers.pressure(df).collect()] == ['- [高] **s** — m（vs 上季：緩解）\n  > "q"']
+    assert [r.text for r in renderers.supply_risks(df).collect()] == ["- [價格] t：s"]
+    assert [(r.entity, r.text) for r in renderers.commitments(df).collect()] == [(1, "x（佔 Revenue 約 5%）")]
+    kept = renderers.declared(spark.createDataFrame([("risk", '{"risks": [1], "x": 2}')], "task_id STRING, result STRING"))
+    assert {(r["key"], r["v"]) for r in kept.selectExpr("key", "to_json(value) as v").collect()} == {("risks", "[1]"), ("top_3", None), ("insufficient_data", None)}
+
+
+def test_transcript_source(spark):
+    def fetch(ticker, quarter, year):
+        from ledgerloom.sources.scraped import NotFound
+
+        if ticker == "NONE":
+            raise NotFound(ticker)
+        if ticker == "BAD":
+            raise OSError("down")
+        return json.dumps({"raw_text": "x" * (2000 if ticker == "GOOD" else 5), "participants": [{"name": "A"}, {"name": ""}]})
+
+    spark.dataSource.register(scraped.transcript_source(fetch))
+    got = {r.ticker: (r.error, r.participants) for r in spark.read.format("transcripts").option("wait", "0").option("requests", "good q1 2024, none Q2 2024, bad Q3 2024, thin Q4 2024").load().collect()}
+    assert got["GOOD"] == (None, '[{"name": "A"}]') and got["NONE"][0].startswith("not_found") and got["BAD"][0] == "failed: down" and got["THIN"][0] == "short_text"
+    with pytest.raises(ValueError, match="quarter"):
+        scraped.requests("MSFT Q9 2024")
