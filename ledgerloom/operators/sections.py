@@ -1,8 +1,8 @@
 """Sections, notes and tables of contents of long documents.
 
-A document is (doc_id, text). Lines are exploded once with their numbers; every choice (last header, first anchor,
-earliest pattern) is an aggregate over (doc_id, ..), so it combines before the shuffle, and slices are taken from the
-document's own array of lines."""
+A document is (doc_id, text). Splitting by headers stays inside the row. Elsewhere lines are exploded once with their
+numbers, and every choice (first anchor, earliest pattern) is an aggregate over (doc_id, ..), so it combines before the
+shuffle."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import strip_md
+from ..functions.text import strip_md, stripped
 from ..plans import dims
 
 
@@ -21,19 +21,34 @@ def lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
 
 
-def header_hits(docs: DataFrame, filing_type: str = "10-K") -> DataFrame:
-    """(doc_id, section, tier, line_no) of all lines that are headers; tier 0 in Markdown, 1 in plain text."""
-    tests = [F.when(F.col("line").rlike(f"(?iU){p}"), F.struct(F.lit(name).alias("section"), F.lit(tier).alias("tier"))) for name, pair in dims.HEADERS[filing_type].items() for tier, p in enumerate(pair)]
-    hits = lines(docs).select("doc_id", "line_no", F.explode(F.array_compact(F.array(*tests))).alias("h"))
-    return hits.select("doc_id", "h.section", "h.tier", "line_no")
+def _last_line(pattern: str) -> Column:
+    """Number of the last line in ``__l`` that the pattern meets, or null."""
+    places = F.sequence(F.lit(0), F.size("__l") - 1)
+    return F.array_max(F.filter(places, lambda i: F.get("__l", i).rlike(f"(?iU){pattern}")))
+
+
+def _found(filing_type: str) -> Column:
+    """Array of (line_no, rank, section), in order, of the last header line of each section, from the lines in ``__l``.
+
+    Plain-text headers count only in documents with fewer than three sections in Markdown, and there for the sections that
+    have none; they aren't looked for elsewhere."""
+    pairs = dims.HEADERS[filing_type]
+    few = reduce(lambda n, s: n + F.col(f"__{s}").isNotNull().cast("int"), pairs, F.lit(0)) < 3
+    line = {s: F.coalesce(f"__{s}", F.when(few, _last_line(plain))) for s, (_, plain) in pairs.items()}
+    found = [F.when(line[s].isNotNull(), F.struct(line[s].alias("line_no"), F.lit(k).alias("rank"), F.lit(s).alias("section"))) for k, s in enumerate(pairs)]
+    return F.array_sort(F.array_compact(F.array(*found)))
+
+
+def _with_headers(docs: DataFrame, filing_type: str) -> DataFrame:
+    """(doc_id, __l: lines, __h: headers): all inside the row, without a shuffle."""
+    rows = docs.select("doc_id", F.split("text", "\n", -1).alias("__l"))
+    md = {f"__{s}": _last_line(p) for s, (p, _) in dims.HEADERS[filing_type].items()}
+    return rows.withColumns(md).select("doc_id", "__l", _found(filing_type).alias("__h"))
 
 
 def last_headers(docs: DataFrame, filing_type: str = "10-K") -> DataFrame:
-    """(doc_id, section, line_no): the last header line of each section. Plain-text headers count only in documents with
-    fewer than three sections in Markdown, and there for the sections that have none."""
-    last = header_hits(docs, filing_type).groupBy("doc_id", "section").agg(F.max(F.when(F.col("tier") == 0, F.col("line_no"))).alias("md"), F.max(F.when(F.col("tier") == 1, F.col("line_no"))).alias("plain"))
-    few = F.count("md").over(Window.partitionBy("doc_id")) < 3
-    return last.withColumn("line_no", F.coalesce("md", F.when(few, F.col("plain")))).where("line_no is not null").select("doc_id", "section", "line_no")
+    """(doc_id, section, line_no): the last header line of each section."""
+    return _with_headers(docs, filing_type).select("doc_id", F.explode("__h").alias("h")).select("doc_id", "h.section", "h.line_no")
 
 
 def slices(docs: DataFrame, starts: DataFrame, order: list[str] | None = None) -> DataFrame:
@@ -46,12 +61,20 @@ def slices(docs: DataFrame, starts: DataFrame, order: list[str] | None = None) -
     rows = parts.join(docs.select("doc_id", F.split("text", "\n", -1).alias("__l")), "doc_id")
     end = F.coalesce("end_line", F.size("__l"))
     text = F.array_join(F.slice("__l", F.col("line_no") + 1, end - F.col("line_no")), "\n")
-    return rows.select("doc_id", "section", F.col("line_no").alias("start_line"), end.alias("end_line"), F.regexp_replace(text, F.lit(r"(?U)\A\s+|\s+\z"), F.lit("")).alias("text"))
+    return rows.select("doc_id", "section", F.col("line_no").alias("start_line"), end.alias("end_line"), stripped(text).alias("text"))
 
 
 def split_sections(docs: DataFrame, filing_type: str = "10-K") -> DataFrame:
-    """The target sections by headers."""
-    out = slices(docs, last_headers(docs, filing_type), list(dims.HEADERS[filing_type]))
+    """(doc_id, section, start_line, end_line, text) of the target sections by headers: from each header to the next of any
+    kind or the end. Of two on one line the first in order is empty. A projection: texts aren't shuffled."""
+    rows = _with_headers(docs, filing_type)
+
+    def part(h: Column, i: Column) -> Column:
+        end = F.coalesce(F.get("__h", i + 1)["line_no"], F.size("__l"))
+        text = F.array_join(F.slice("__l", h["line_no"] + 1, end - h["line_no"]), "\n")
+        return F.struct(h["section"].alias("section"), h["line_no"].alias("start_line"), end.alias("end_line"), stripped(text).alias("text"))
+
+    out = rows.select("doc_id", F.explode(F.transform("__h", part)).alias("p")).select("doc_id", "p.*")
     return out.where(F.col("section").isin(dims.TARGETS[filing_type]))
 
 
