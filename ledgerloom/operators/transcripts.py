@@ -5,11 +5,11 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from ..functions.text import stripped
 from ..plans import dims
 
-_TURN = r"(?U)^\s*([\w][\w\t .\-']*?)[ \t]*:\s*(.*)$"
+_NAME = r"[^\S\n]*([\w][\w\t .\-']*?)[ \t]*:"
 
 
 def qa_start(text: Column) -> Column:
@@ -26,15 +26,15 @@ def halves(docs: DataFrame) -> DataFrame:
 
 
 def turns(parts: DataFrame) -> DataFrame:
-    """(doc_id, part, turn, speaker_raw, text): a line 'name: ..' starts a turn; what comes before the first has no name."""
-    rows = parts.select("doc_id", "part", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    name = F.regexp_extract("line", _TURN, 1)
-    rows = rows.withColumn("name", F.nullif(F.trim(name), F.lit(""))).withColumn("said", F.when(F.col("name").isNotNull(), F.regexp_extract("line", _TURN, 2)).otherwise(F.col("line")))
-    turn = F.count("name").over(Window.partitionBy("doc_id", "part").orderBy("line_no"))
-    rows = rows.withColumn("turn", turn)
-    out = rows.groupBy("doc_id", "part", "turn").agg(F.max("name").alias("speaker_raw"), F.array_sort(F.collect_list(F.struct("line_no", "said"))).alias("l"))
-    text = F.regexp_replace(F.array_join(F.col("l.said"), "\n"), F.lit(r"(?U)\A\s+|\s+\z"), F.lit(""))
-    return out.select("doc_id", "part", F.col("turn").cast("long").alias("turn"), "speaker_raw", text.alias("text"))
+    """(doc_id, part, turn, speaker_raw, text): a line 'name: ..' starts a turn; what comes before the first has no name.
+
+    A text is cut in front of such lines inside its row: nothing is shuffled."""
+    cut = parts.select("doc_id", "part", F.split("text", rf"(?U)\n(?={_NAME})", -1).alias("u"))
+    named = F.get("u", F.lit(0)).rlike(rf"(?U)\A{_NAME}").cast("int")
+    rows = cut.select("doc_id", "part", named.alias("named"), F.posexplode("u").alias("pos", "said"))
+    name = F.when((F.col("pos") > 0) | (F.col("named") == 1), F.trim(F.regexp_extract("said", rf"(?U)\A{_NAME}", 1)))
+    body = F.when(name.isNotNull(), F.regexp_replace("said", F.lit(rf"(?U)\A{_NAME}"), F.lit(""))).otherwise(F.col("said"))
+    return rows.select("doc_id", "part", (F.col("pos") + F.col("named")).cast("long").alias("turn"), name.alias("speaker_raw"), stripped(body).alias("text"))
 
 
 def alias_claims(people: DataFrame) -> DataFrame:
