@@ -28,14 +28,28 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_written: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: it cuts lineage, and lost executors don't lose it."""
+    """``df`` as a Parquet table in the shared folder: it cuts lineage, and lost executors don't lose it.
+
+    Results are lazy and may still read it, so it stays until ``clear_written``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/ledgerloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_written(spark: SparkSession) -> None:
+    """Delete the tables that this process has written; call it once results are saved."""
+    conf = spark._jsc.hadoopConfiguration()
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def text_array(column) -> pa.Array:
     """A batch's string column as one array with nulls as empty texts."""
     arr = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

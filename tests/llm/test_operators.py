@@ -369,3 +369,13 @@ def test_sql(spark):
         cols = sorted(ours.columns)
         assert cols == sorted(theirs.columns), name
         assert sorted(map(tuple, ours[cols].astype(str).values)) == sorted(map(tuple, theirs[cols].astype(str).values)), name
+
+
+def test_written_tables_are_cleared(spark):
+    from ledgerloom.llm import _shared
+
+    df = _shared.written(spark.range(3).toDF("doc_id"), "x")
+    path = _shared._written[-1].removeprefix("file://")
+    assert df.count() == 3 and os.path.isdir(path)
+    _shared.clear_written(spark)
+    assert not os.path.isdir(path) and not _shared._written
