@@ -130,7 +130,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
         if level + 1 < len(levels):
             d = written(d, f"level{level}")
         inside = Window.partitionBy("__w", "k", "__bin").orderBy("__i").rowsBetween(Window.unboundedPreceding, -1)
-        name = F.lit(level).cast("long") * F.lit(1 << 59) + F.col("__w") * F.lit(1 << 35) + F.col("k") * F.lit(1 << 23) + F.col("__bin")
+        name = F.lit(level).cast("long") * F.lit(1 << 59) + F.col("__w") * F.lit(1 << 35) + F.col("k").cast("long") * F.lit(1 << 23) + F.col("__bin")
         out.append(d.where("__full").withColumn("sequence_id", name).withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0))))
         rest = d.where("not __full").select(*rows.columns, "__h")
     last = rest.drop("__h")
