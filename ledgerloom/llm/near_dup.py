@@ -11,7 +11,10 @@ texts that left a coordinate empty.
 Texts with equal signatures are one node. Nodes that agree in a band share a bucket. Every node of a bucket is paired
 with the bucket's smallest (never all with all); pairs are checked on their whole shingle sets. Buckets that still hold
 more than one component are compared in bounded chunks, across components only, so a link that doesn't pass through the
-smallest isn't lost. Components are found by alternating large and small stars on written tables."""
+smallest isn't lost: there all candidate pairs are looked at inside the task, on whole shingle sets, but only the links of a
+spanning forest leave it. Components are found by alternating large and small stars on written tables.
+
+Sides whose size follows the data are joined by sort and merge, never broadcast because they happen to be small."""
 
 from __future__ import annotations
 
@@ -143,13 +146,16 @@ def _agreeing(k: int):
     return F.expr(same.format(k)) / k
 
 
-def _checked_pairs(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """The (a, b) of ``pairs`` whose texts are similar enough. Only texts that some pair needs are shuffled on."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    texts = written(texts, "pair-texts")
-    both = pairs.join(texts.withColumnRenamed("doc_id", "a").withColumnRenamed("text", "ta"), "a").join(texts.withColumnRenamed("doc_id", "b").withColumnRenamed("text", "tb"), "b")
-    return written(both.select("a", "b", "ta", "tb").mapInArrow(_checked(similarity), "a long, b long, similarity double"), "links")
+def _grown(df: DataFrame) -> DataFrame:
+    """A side that grows with the corpus: no broadcast, at no size."""
+    return df.hint("merge")
+
+
+def _checked_pairs(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The (a, b) of ``pairs`` whose texts are similar enough."""
+    side = lambda x: _grown(texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}")))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
+    return written(both.mapInArrow(_checked(similarity), "a long, b long, similarity double"), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -174,26 +180,71 @@ def components(edges: DataFrame) -> DataFrame:
         state = found
 
 
-def _across(k: int, likely: float):
-    """Pairs of a bucket's chunks that agree in enough coordinates and are of different components."""
-
-    def compare(table: pa.Table) -> pa.Table:
-        node, component, part = (table[c].to_numpy() for c in ("node", "component", "c"))
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u4").reshape(-1, k)
-        rows, cols = np.flatnonzero(part == i), np.flatnonzero(part == j)
-        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for x in rows.tolist():
-            other = cols[component[cols] != component[x]]
-            if i == j:
-                other = other[other > x]
-            other = other[(sig[other] == sig[x]).sum(axis=1) >= likely * k] if len(other) else other
-            left.append(np.full(len(other), node[x]))
-            right.append(node[other])
-        a, b = np.concatenate(left), np.concatenate(right)
-        return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
-
-    return compare
+def _candidates(table: pa.Table, k: int, likely: float) -> Iterator[tuple[int, np.ndarray]]:
+    """For the places of a bucket's chunk i the places in chunk j that agree in enough coordinates, of other components."""
+    component, part = table["component"].to_numpy(), table["c"].to_numpy()
+    i, j = table["i"][0].as_py(), table["j"][0].as_py()
+    sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u4").reshape(-1, k)
+    cols = np.flatnonzero(part == j)
+    for x in np.flatnonzero(part == i).tolist():
+        other = cols[component[cols] != component[x]]
+        if i == j:
+            other = other[other > x]
+        if len(other):
+            yield x, other[(sig[other] == sig[x]).sum(axis=1) >= likely * k]
+
+
+def _wanted(k: int, likely: float):
+    """The members of a bucket's chunks that have a candidate of another component."""
+
+    def find(table: pa.Table) -> pa.Table:
+        found = np.zeros(table.num_rows, bool)
+        for x, other in _candidates(table, k, likely):
+            found[other] = True
+            found[x] |= len(other) > 0
+        return table.select(["key", "i", "j", "c", "node"]).filter(pa.array(found))
+
+    return find
+
+
+def _joined_up(k: int, likely: float, similarity: float):
+    """Links between a bucket's components: candidates not yet joined are checked on their texts; a forest is returned."""
+
+    def find(table: pa.Table) -> pa.Table:
+        node, root = table["node"].to_pylist(), {c: c for c in table["component"].to_pylist()}
+        component = table["component"].to_pylist()
+
+        def top(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        row, h, weight = elements(text_array(table["text"]))
+        code = np.unique(h, return_inverse=True)[1]
+        order = np.argsort(row, kind="stable")
+        code, weight = code[order], weight[order]
+        edges = np.searchsorted(row[order], np.arange(table.num_rows + 1))
+        total = np.add.reduceat(np.append(weight, 0), edges[:-1]) * (np.diff(edges) > 0)
+        own = np.zeros(int(code.max(initial=-1)) + 1, np.int64)
+        out = []
+        for x, other in _candidates(table, k, likely):
+            other = np.array([y for y in other.tolist() if top(component[y]) != top(component[x])], np.int64)
+            if not len(other):
+                continue
+            mine = slice(edges[x], edges[x + 1])
+            own[code[mine]] = weight[mine]
+            size = edges[other + 1] - edges[other]
+            at = np.repeat(edges[other] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            both = np.bincount(np.repeat(np.arange(len(other)), size), np.minimum(own[code[at]], weight[at]), minlength=len(other))
+            own[code[mine]] = 0
+            for y in other[both >= (similarity - 1e-12) * (total[x] + total[other] - both)].tolist():
+                if top(component[y]) != top(component[x]):
+                    root[top(component[y])] = top(component[x])
+                    out.append((max(node[x], node[y]), min(node[x], node[y])))
+        return pa.table([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
+
+    return find
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, per_band: int = PER_BAND) -> DataFrame:
@@ -213,26 +264,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     key = F.array(*[F.xxhash64(F.lit(b), F.substring("sig", 4 * per_band * b + 1, 4 * per_band)) for b in range(bands)])
     banded = nodes.select("node", F.explode(key).alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    star = banded.join(buckets, "key").where("node > center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
-    sig = nodes.groupBy("node").agg(F.min("sig").alias("sig"))
-    likely = star.join(sig.withColumnRenamed("node", "a").withColumnRenamed("sig", "sa"), "a").join(sig.withColumnRenamed("node", "b").withColumnRenamed("sig", "sb"), "b")
-    likely = written(likely.where(_agreeing(k) >= LIKELY).select("a", "b"), "pairs")
-    links = _checked_pairs(likely, rows, similarity).select("a", "b")
+    buckets = written(banded.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    shared = written(banded.join(_grown(buckets), "key").select("key", "node", "center", "n"), "shared")
+    star = shared.where("node > center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
+    in_bucket = _grown(shared.select("node").distinct())
+    sig = written(nodes.join(in_bucket, "node", "left_semi").groupBy("node").agg(F.min("sig").alias("sig")), "bucket-signatures")
+    side = lambda x: _grown(sig.select(F.col("node").alias(x), F.col("sig").alias(f"s{x}")))
+    likely = written(star.join(side("a"), "a").join(side("b"), "b").where(_agreeing(k) >= LIKELY).select("a", "b"), "pairs")
+    texts = written(rows.join(in_bucket.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "bucket-texts")
+    links = _checked_pairs(likely, texts, similarity).select("a", "b")
     own = components(links)
 
-    several = banded.join(own, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    still = several.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi and n > 2")
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    members = several.join(still.select("key", chunks.alias("chunks")), "key").join(sig, "node")
+    several = shared.where("n > 2").join(_grown(own), "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    still = several.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")).where("lo < hi")
+    members = several.join(_grown(still.select("key", "chunks")), "key")
     members = members.withColumn("c", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("i", F.least("c", "other")).withColumn("j", F.greatest("c", "other"))
-    more = members.groupBy("key", "i", "j").applyInArrow(_across(k, LIKELY), "a long, b long").distinct()
-    more = written(more.join(likely, ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        own = components(links.union(_checked_pairs(more, rows, similarity).select("a", "b")))
-
-    out = sigs.select("doc_id", "s1", "s2").join(nodes.select("s1", "s2", "node"), ["s1", "s2"], "left").join(own, "node", "left")
+    members = members.select("key", "i", "j", "c", "node", "component")
+    found = members.join(_grown(sig), "node").groupBy("key", "i", "j").applyInArrow(_wanted(k, LIKELY), "key long, i int, j int, c int, node long")
+    found = written(found, "candidates")
+    found = found.join(_grown(own), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    found = found.join(_grown(sig), "node").join(_grown(texts.withColumnRenamed("doc_id", "node")), "node")
+    more = written(found.groupBy("key", "i", "j").applyInArrow(_joined_up(k, LIKELY, similarity), "a long, b long"), "links")
+    if not more.isEmpty():  # from the stars found so far, so few rounds are left
+        own = components(own.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+
+    out = sigs.select("doc_id", "s1", "s2").join(_grown(nodes.select("s1", "s2", "node")), ["s1", "s2"], "left").join(_grown(own), "node", "left")
     return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("class_id"))
 
 
