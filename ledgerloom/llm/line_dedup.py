@@ -72,7 +72,7 @@ class LineRuns:
 
     def dropped(self, keys: DataFrame, min_docs: int) -> DataFrame:
         """The rows of ``keys`` that go: common enough, and held by a larger id. The rest is the anti-join's result."""
-        held = self.entries(min_docs)
+        held = written(self.entries(min_docs), "line-held")  # a table of its own: a key that very many lines have can be split
         return keys.join(held, _KEY).where(~F.col("doc_id").eqNullSafe(F.col("last"))).where(F.col("last").isNotNull()).select("doc_id", *_KEY)
 
 
