@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._gsaca import suffix_array
-from ._shared import blocks, text_array, written
+from ._shared import blocks, mixed, text_array, written
 
 GRAM = 32
 BIN_BYTES, MOST_CONTEXTS = 512 << 10, 20_000
@@ -52,10 +52,11 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def _anchors_of(data: np.ndarray, edges: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
-    """(row, lo, n, off, hash) of the anchors of the texts data[edges[i]:edges[i + 1]], in order: the run of n windows
-    from byte lo of the text has its anchor at byte lo + off."""
+    """(row, lo, n, off, hash, left, right) of the anchors of the texts data[edges[i]:edges[i + 1]], in order: the run of n
+    windows from byte lo of the text has its anchor at byte lo + off. left and right: hashes of the anchor with the GRAM
+    bytes before and behind it, 0 where no window of the run needs that side."""
     span = width - GRAM + 1
-    empty = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
+    empty = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),) * 3
     if len(data) < width:
         return empty
     h = _gram_hashes(data)
@@ -74,8 +75,14 @@ def _anchors_of(data: np.ndarray, edges: np.ndarray, width: int) -> tuple[np.nda
     at = at[good]
     cut = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (good[1:] != good[:-1] + 1)]))
     lo = good[cut]
-    own = row[lo]
-    return own, lo - edges[own], np.diff(np.concatenate([cut, [len(good)]])), at[cut] - lo, h[at[cut]]
+    own, at = row[lo], at[cut]
+    n, off = np.diff(np.concatenate([cut, [len(good)]])), at - lo
+    with np.errstate(over="ignore"):
+        left = (h[np.maximum(at - GRAM, 0)] * _A + h[at]) * _B | np.uint64(1)
+        right = (h[at] * _B + h[np.minimum(at + GRAM, len(h) - 1)]) * _A | np.uint64(1)
+    left[off < GRAM] = 0
+    right[off - n + 1 >= GRAM] = 0
+    return own, lo - edges[own], n, off, h[at], left, right
 
 
 def anchors(texts: pa.Array, width: int) -> tuple[np.ndarray, ...]:
@@ -90,25 +97,27 @@ def anchors(texts: pa.Array, width: int) -> tuple[np.ndarray, ...]:
     found = []
     for a in range(0, len(data), _PIECE):
         piece = data[a : a + _PIECE + width - 1]
-        row, lo, count, off, h = _anchors_of(piece, np.array([0, len(piece)]), width)
-        found.append((row, lo + a, count, off, h))
+        row, lo, *rest = _anchors_of(piece, np.array([0, len(piece)]), width)
+        found.append((row, lo + a, *rest))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def _fingerprints(n_buckets: int, width: int):
-    """A row (bucket, payload) for each bucket and block: fingerprints with the text's and the anchor's number; and a
-    row for the block's texts."""
+    """A row (bucket, payload) for each bucket and block: fingerprints with the text's number and twice the anchor's (and 1
+    more for the right side); and a row for the block's texts."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, k = TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = text_array(batch.column(2))
             for a, b in blocks(texts, most_rows=65_535):
-                row, _, _, _, h = anchors(texts.slice(a, b - a), width)
+                row, _, _, _, _, left, right = anchors(texts.slice(a, b - a), width)
                 block, k = (part << 32) + k, k + 1
                 if not len(row):
                     continue
-                number = np.arange(len(row)) - np.searchsorted(row, row)
+                number = 2 * (np.arange(len(row)) - np.searchsorted(row, row))
+                row, number, h = np.concatenate([row, row]), np.concatenate([number, number + 1]), np.concatenate([left, right])
+                row, number, h = row[h > 0], number[h > 0], mixed(h[h > 0])
                 bucket = (h % np.uint64(n_buckets)).astype(np.int64)
                 print32 = (h >> np.uint64(32)).astype("<u4")
                 order = np.argsort(bucket, kind="stable")
@@ -179,8 +188,16 @@ def _contexts(width: int):
             texts = text_array(batch.column(2))
             for i in range(len(texts)):
                 own = texts.slice(i, 1)
-                hits = np.frombuffer(batch.column(3)[i].as_py(), "<u4")
-                _, lo, n, off, h = (x[hits] for x in anchors(own, width))
+                hits = np.frombuffer(batch.column(3)[i].as_py(), "<u4").astype(np.int64)
+                which, first = np.unique(hits // 2, return_index=True)
+                _, lo, n, off, h, _, _ = (x[which] for x in anchors(own, width))
+                # only windows with their anchor at GRAM or later need the left side, only the others the right one
+                both = np.diff(np.append(first, len(hits))) > 1
+                is_right = (hits[first] % 2 == 1) & ~both
+                is_left = (hits[first] % 2 == 0) & ~both
+                skip = np.where(is_right, np.maximum(off - GRAM + 1, 0), 0)
+                n = np.where(is_left, np.minimum(n, off - GRAM + 1), n) - skip
+                lo, off = lo + skip, off - skip
                 data = own[0].as_buffer().to_pybytes()
                 seen: set[bytes] = set()
                 k1, k2, kept = [], [], []
@@ -317,12 +334,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n_buckets = n_buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(text).alias("version"), text.alias("text"))
+    whole = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"))
+    ids = rows.select("doc_id", "version", whole.alias("whole"), F.octet_length("text").alias("size"))
+    same = ids.groupBy("whole").agg(F.min(F.struct("doc_id", "version")).alias("first"), F.max(F.struct("doc_id", "version")).alias("last")).where(~F.col("first").eqNullSafe(F.col("last")))
+    copies = ids.join(same.select("whole", "first"), "whole").where(~F.struct("doc_id", "version").eqNullSafe(F.col("first")) & (F.col("size") >= width))
+    copies = written(copies.select("doc_id", "version", F.lit(0).alias("lo"), (F.col("size") - width + 1).alias("n")), "copies")
     dealt = rows.mapInArrow(_fingerprints(n_buckets, width), "bucket int, block long, is_meta boolean, payload binary")
     again = dealt.groupBy("bucket").applyInArrow(_found_again, "block long, is_meta boolean, payload binary")
     hits = again.groupBy("block").applyInArrow(_by_text, "doc_id long, version int, hits binary")
     hits = hits.groupBy("doc_id", "version").agg(F.min("hits").alias("hits"))  # rows that are the same document
     one = lambda a: [F.col("doc_id").eqNullSafe(F.col(f"{a}_id")), F.col("version") == F.col(f"{a}_version")]
     named = lambda df, a: df.withColumnRenamed("doc_id", f"{a}_id").withColumnRenamed("version", f"{a}_version")
+    hits = hits.join(named(copies.select("doc_id", "version").distinct().hint("merge"), "c"), one("c"), "left_anti")
     texts = rows.join(named(hits, "h"), one("h")).select("doc_id", "version", "text", "hits")
     contexts = written(texts.mapInArrow(_contexts(width), _CONTEXT), "contexts")
 
@@ -330,7 +353,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sent = contexts.where("context is not null")
     whole = sent.groupBy("k1", "k2").agg(F.min(at).alias("first"), F.any_value(F.struct("h", "n", "off", "context")).alias("c"))
     whole = whole.select("k1", "k2", "first", "c.*")
-    marks = contexts.where("context is null").select("doc_id", "version", "lo", "n")
+    marks = copies.union(contexts.where("context is null").select("doc_id", "version", "lo", "n"))
     firsts = whole.select("k1", "k2", "first")
     marks = marks.union(sent.drop("context").join(firsts, ["k1", "k2"]).where(~at.eqNullSafe(F.col("first"))).select("doc_id", "version", "lo", "n"))
 
