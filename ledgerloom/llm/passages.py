@@ -1,10 +1,13 @@
 """Repeated passages by hashing normalised units of text.
 
-A text is cut into units: lines, and inside them sentences or their parts (a unit ends behind one of ``.!?,;:`` before
-white space, once it has enough words), as passages are often pasted into the middle of a line. A unit's digest is that of its words in lower case, so spacing
+A text is cut into units of ``min_words`` to twice as many words. Where to cut follows from the words around a place
+alone, never from a count since the last cut, so that copies of a passage are cut alike wherever they stand: every word is
+ranked by what stands before it (a line break, the end of a sentence, another mark, none of these) and then by a hash of
+it and the next word, and in this order becomes a cut unless one was made within ``min_words``. Units go on over line
+breaks, and text without marks is cut by the hashes. A unit's digest is that of its words in lower case, so spacing
 doesn't matter. Digests are grouped over the corpus; the earliest occurrence by (doc_id, place) stays, the others are
-removed, and their offsets in the original text are kept beside the result. Of a passage pasted into running text the
-sentences at its two ends are part of units that hold the text around them, and stay."""
+removed, and their offsets in the original text are kept beside the result. At the two ends of a passage pasted into other
+text, words that share a unit with the text around them stay."""
 
 from __future__ import annotations
 
@@ -17,22 +20,75 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import text_array
+from ._shared import mixed, text_array
 
 _END = re.compile(r"[.!?,;:]+(?=[ \t])")
 _LINE = re.compile(r"[^\n]+")
+#: White space as str.split has it; all code points beyond the table are none.
+_SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
+#: 1 behind the end of a sentence, 2 behind another mark, 3 behind any other character.
+_MARKS = np.array([1 if chr(c) in ".!?" else 2 if chr(c) in ",;:" else 3 for c in range(128)])
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+class _Hashes(dict):
+    """A word's 64-bit hash, kept for the words seen lately."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return found
+
+
+_HASHES = _Hashes()
+
+
+def cuts(rank: np.ndarray, apart: int) -> list[int]:
+    """0, len(rank) and, lowest rank first, each place that is ``apart`` or more from all places taken before it, in order."""
+    n = len(rank)
+    taken, block = bytearray(n + 2 * apart), b"\1" * (2 * apart - 1)
+    found = [0, n]
+    for x in found:
+        taken[x + 1 : x + 2 * apart] = block
+    for x in np.argsort(rank, kind="stable").tolist():
+        if not taken[x + apart]:
+            taken[x + 1 : x + 2 * apart] = block
+            found.append(x)
+    return sorted(found)
+
+
+def _runs(text: str, min_words: int) -> Iterator[tuple[int, int]]:
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[np.minimum(codes, len(_SPACE) - 1)], [True]])))
+    start, stop = edges[::2], edges[1::2]
+    n = len(start)
+    if n < min_words:
+        return
+    h = np.fromiter(map(_HASHES.__getitem__, text.lower().split()), np.uint64, n)
+    breaks = np.concatenate([[0], np.cumsum(codes == 10)])
+    broken = breaks[start[1:]] > breaks[stop[:-1]]
+    after = np.where(broken, 0, _MARKS[np.minimum(codes[stop[:-1] - 1], 127)])
+    with np.errstate(over="ignore"):
+        rank = mixed(h + np.append(h[1:], np.uint64(0)) * _ODD) >> np.uint64(2)
+    rank[1:] |= after.astype(np.uint64) << np.uint64(62)
+    places = cuts(rank, min_words)
+    for i, j in zip(places, places[1:], strict=False):
+        yield int(start[i]), int(start[j] if j < n and not broken[j - 1] else stop[j - 1])
 
 
 def units(text: str, kind: str, min_words: int = 1) -> Iterator[tuple[int, int]]:
-    """(start, end) of the text's units, in code points. A sentence of fewer than ``min_words`` words goes on into the next
-    of its line, so that short ones inside a passage leave no gaps."""
+    """(start, end) of the text's units, in code points: lines, or for "sentence" runs of ``min_words`` words or more that
+    are cut by content. With ``min_words`` 1 these are the parts of lines between marks."""
+    if kind == "sentence" and min_words > 1:
+        yield from _runs(text, min_words)
+        return
     for line in _LINE.finditer(text):
         at, end = line.span()
         if kind == "sentence":
             for m in _END.finditer(text, at, end):
-                if min_words == 1 or len(text[at : m.end()].split()) >= min_words:
-                    yield at, m.end()
-                    at = m.end()
+                yield at, m.end()
+                at = m.end()
         if at < end:
             yield at, end
 
@@ -88,7 +144,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: str = "sentence", min_words: int = 8) -> DataFrame:
     """One row per row of ``docs``: doc_id, text (what stays), removed (array of (start, stop) in the original's code points).
 
-    kind: "sentence" or "line". Units of fewer than ``min_words`` words always stay. A null text counts as empty. Rows that
+    kind: "sentence" or "line". Lines, and whole texts, of fewer than ``min_words`` words always stay. A null text counts as empty. Rows that
     repeat both id and text are one document and are treated alike; a null id is ranked before all others. An empty
     table gives no rows; other columns are ignored."""
     repeats = repeated_units(docs, id_col, text_col, kind, min_words).distinct()
