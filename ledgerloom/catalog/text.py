@@ -190,6 +190,12 @@ def escape_cell(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", text.table_cell(F.substring("text", 1, 80)).alias("cell"))
 
 
+@query("SELECT doc_id, md5(replace(replace(replace(coalesce(text, ''), '|', '\\|'), chr(10), ' '), chr(13), ' ')) AS cell_md5 FROM documents")
+def escape_cell_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts as cells, where escape_cell's SQL takes their first 80 characters."""
+    return table(spark, sf, "documents").select("doc_id", F.md5(text.table_cell(F.col("text"))).alias("cell_md5"))
+
+
 @query("SELECT doc_id, md5(array_to_string(list_transform(string_split(trim(text), chr(10)), lambda x: CASE WHEN x = '' THEN '>' ELSE '> ' || x END), chr(10))) AS quote_md5 FROM documents WHERE text <> ''")
 def blockquote(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").where("text <> ''").select("doc_id", F.md5(text.blockquote(F.col("text"))).alias("quote_md5"))
@@ -220,6 +226,15 @@ def term_substitute(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", text.substituted(F.expr(_TERMS), dims.TERM_SUBSTITUTES).alias("text"))
 
 
+_WHOLE_TERMS = _TERMS.replace("substr(text, 1, 60)", "text")
+
+
+@query(f"SELECT doc_id, md5({_fold(_WHOLE_TERMS)}) AS text_md5 FROM documents")
+def term_substitute_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts, where term_substitute's SQL takes their first 60 characters."""
+    return table(spark, sf, "documents").select("doc_id", F.md5(text.substituted(F.expr(_WHOLE_TERMS), dims.TERM_SUBSTITUTES)).alias("text_md5"))
+
+
 _VAL = "CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE round(o_totalprice * power(10, o_orderkey % 6)) * CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE -1 END END"
 
 

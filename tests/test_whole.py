@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import functions as F
 
 from ledgerloom import catalog
 from ledgerloom.functions import numbers
+from ledgerloom.plans import dims
 
 catalog.load()
 
@@ -26,3 +28,19 @@ def test_signed_percent_all_has_every_order_and_its_ties(spark, tmp_path):
     spark.createDataFrame([(i, p) for i, p in enumerate(prices, 1)], "o_orderkey LONG, o_totalprice DOUBLE").write.parquet(f"{tmp_path}/orders.parquet")
     got = {r.o_orderkey: (r.growth, r.margin) for r in catalog.QUERIES["signed_percent_all"](spark, str(tmp_path)).collect()}
     assert got == {1: ("+1.3%", "1.3%"), 2: ("+1.8%", "1.8%"), 3: ("+1.1%", "1.1%"), 4: ("+0.3%", "0.3%"), 5: ("+0.8%", "0.8%")}
+
+
+def test_texts_are_taken_whole(spark, tmp_path):
+    texts = ["x" * 100 + "|a\nb\rc CapEx", "y " * 2000 + "| CapEx", "z " * 700, None]
+    spark.createDataFrame([(i, x, "s") for i, x in enumerate(texts)], "doc_id LONG, text STRING, source STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    of = lambda name, col: {r.doc_id: r[col] for r in catalog.QUERIES[name](spark, str(tmp_path)).collect()}
+    cells = [(x or "").replace("|", "\\|").replace("\n", " ").replace("\r", " ") for x in texts]
+    assert of("escape_cell_whole", "cell_md5") == {i: md5(x) for i, x in enumerate(cells)}
+    folded = of("term_substitute_whole", "text_md5")
+    for i, start in enumerate(("OperatingIncomeLoss ", "NetIncome and CapEx ", "大幅惡化 ")):
+        want = start + texts[i]
+        for a, b in dims.TERM_SUBSTITUTES:
+            want = want.replace(a, b)
+        assert folded[i] == md5(want)
+    assert of("coalesce_candidates_whole", "text_md5") == {0: md5(texts[0]), 1: md5("s " + texts[1]), 2: md5(texts[2]), 3: None}
