@@ -209,12 +209,12 @@ _REPLIES = {
 
 @query()
 def eval_loop(spark: SparkSession, sf: str) -> DataFrame:
-    """Tasks through the dry-run provider, judged, failed ones once more; what fails twice is of low confidence."""
-    d = table(spark, sf, "documents")
+    """A task for each document through the dry-run provider, judged, failed ones once more; what fails twice is of low confidence."""
+    d = table(spark, sf, "documents").select("doc_id", "text")
     names = F.array(*[F.lit(t) for t in ("financial", "risk", "three_statement_cross", "supply_chain", "fn_tax")])
-    tasks = d.groupBy((F.col("doc_id") % 5).cast("int").alias("k")).agg(F.max("text").alias("source"))
-    tasks = tasks.select(F.element_at(names, F.col("k") + 1).alias("task_id"), "source", text.prompt([("source", text.truncated(F.col("source"), 3000))]).alias("prompt"))
-    return skills.evaluated_run(tasks, skills.dry_run(_REPLIES), 81)
+    tasks = d.select("doc_id", F.get(names, F.pmod("doc_id", F.lit(5)).cast("int")).alias("task_id"), F.col("text").alias("source"))
+    tasks = tasks.withColumn("prompt", text.prompt([("source", text.truncated(F.col("source"), 3000))]))
+    return skills.evaluated_run(tasks, skills.dry_run(_REPLIES), 81, "doc_id")
 
 
 @query("SELECT o_orderkey, concat_ws(' / ', nullif(CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE o_orderstatus END, ''), nullif(o_orderpriority, '5-LOW')) AS meta, CASE WHEN o_orderkey % 2 = 0 THEN '10-Q' ELSE '10-K' END || ' ' || year(o_orderdate) AS label FROM orders")

@@ -47,6 +47,6 @@ def totals(rows: DataFrame) -> DataFrame:
     return rows.withColumn("pass", ~F.col("hard") & (F.col("total") >= dims.PASS_TOTAL))
 
 
-def failed(evals: DataFrame) -> DataFrame:
-    """(task_id, retry_hint) of results that didn't pass or have no verdict."""
-    return evals.where(~F.coalesce("pass", F.lit(False))).select("task_id", F.coalesce("retry_hint", F.lit("")).alias("retry_hint"))
+def failed(evals: DataFrame, key: str = "task_id") -> DataFrame:
+    """(key, retry_hint) of results that didn't pass or have no verdict."""
+    return evals.where(~F.coalesce("pass", F.lit(False))).select(key, F.coalesce("retry_hint", F.lit("")).alias("retry_hint"))

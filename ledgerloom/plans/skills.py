@@ -39,22 +39,24 @@ def run_tasks(tasks: DataFrame, provider: Provider) -> DataFrame:
     return tasks.mapInPandas(call, schema).withColumn("result", parsed_reply(F.col("raw")))
 
 
-def evaluate(results: DataFrame, subtotal: Callable[[str], int] | int) -> DataFrame:
-    """(task_id, total, pass, retry_hint) of results (task_id, source, result); those that are errors have no row."""
+def evaluate(results: DataFrame, subtotal: Callable[[str], int] | int, key: str = "task_id") -> DataFrame:
+    """(key, task_id, total, pass, retry_hint) of results (task_id, source, result); those that are errors have no row."""
     rows = results.where(F.get_json_object("result", "$.error").isNull())
     rows = rows.withColumn("hard", evaluation.hard_fail(F.col("task_id"), F.col("source"), F.col("result")))
     rows = rows.withColumn("schema_score", evaluation.json_schema_score(F.col("result"), F.col("task_id"))).withColumn("llm_subtotal", F.lit(subtotal))
     rows = evaluation.totals(rows)
     hint = F.when(F.col("hard"), F.concat(F.lit("[Hard rule] hard rule failed: "), "task_id")).otherwise(F.lit(""))
-    return rows.select("task_id", "schema_score", "total", "pass", hint.alias("retry_hint"))
+    return rows.select(*dict.fromkeys([key, "task_id"]), "schema_score", "total", "pass", hint.alias("retry_hint"))
 
 
-def evaluated_run(tasks: DataFrame, provider: Provider, subtotal: int) -> DataFrame:
-    """Run, judge, run what failed once more with its hint, judge again; what fails twice is of low confidence."""
+def evaluated_run(tasks: DataFrame, provider: Provider, subtotal: int, key: str = "task_id") -> DataFrame:
+    """Run, judge, run what failed once more with its hint, judge again; what fails twice is of low confidence.
+
+    ``key`` is a column that tells tasks apart, where several have the same task_id; it is returned too."""
     first = run_tasks(tasks, provider)
-    failed = evaluation.failed(evaluate(first, subtotal))
-    again = tasks.join(failed, "task_id").withColumn("prompt", F.concat_ws("\n\n", "prompt", F.concat(F.lit("## retry_hint\n"), "retry_hint"))).drop("retry_hint")
+    failed = evaluation.failed(evaluate(first, subtotal, key), key)
+    again = tasks.join(failed, key).withColumn("prompt", F.concat_ws("\n\n", "prompt", F.concat(F.lit("## retry_hint\n"), "retry_hint"))).drop("retry_hint")
     second = run_tasks(again.select(*tasks.columns), provider)
-    verdicts = evaluate(second, subtotal).select("task_id", F.col("pass").alias("second_pass"))
-    kept = first.join(failed.select("task_id"), "task_id", "left_anti").unionByName(second)
-    return kept.join(verdicts, "task_id", "left").select("task_id", "result", (~F.coalesce("second_pass", F.lit(True))).alias("low_confidence"))
+    verdicts = evaluate(second, subtotal, key).select(key, F.col("pass").alias("second_pass"))
+    kept = first.join(failed.select(key), key, "left_anti").unionByName(second)
+    return kept.join(verdicts, key, "left").select(*dict.fromkeys([key, "task_id"]), "result", (~F.coalesce("second_pass", F.lit(True))).alias("low_confidence"))

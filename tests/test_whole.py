@@ -44,3 +44,10 @@ def test_texts_are_taken_whole(spark, tmp_path):
             want = want.replace(a, b)
         assert folded[i] == md5(want)
     assert of("coalesce_candidates_whole", "text_md5") == {0: md5(texts[0]), 1: md5("s " + texts[1]), 2: md5(texts[2]), 3: None}
+
+
+def test_eval_loop_runs_every_document(spark, tmp_path):
+    spark.createDataFrame([(i, "x" * (200 if i < 10 else 20)) for i in range(20)], "doc_id LONG, text STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.task_id, r.low_confidence) for r in catalog.QUERIES["eval_loop"](spark, str(tmp_path)).collect()}
+    names = ("financial", "risk", "three_statement_cross", "supply_chain", "fn_tax")
+    assert got == {i: (names[i % 5], i in (2, 7)) for i in range(20)}
