@@ -2,8 +2,9 @@
 
 A batch of documents adds a run: its line hashes in sorted order with the number of documents that hold each and the
 largest id among them. When a level has ``fanout`` runs they are merged into one run of the next level, so a corpus of n
-batches has about fanout * log(n) runs to look through. A batch's lines are merge-anti-joined with the runs: what the
-runs hold for enough documents, and for a larger id, goes."""
+batches leaves about fanout * log(n) runs. A line stays in the largest id that holds it, and counts grow to the last
+batch, so no batch's lines can be judged as it comes: after the last one the runs' entries are grouped, and one join of all
+keys with them finds the lines that go."""
 
 from __future__ import annotations
 
