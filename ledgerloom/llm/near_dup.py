@@ -11,8 +11,8 @@ texts that left a coordinate empty.
 Texts with equal signatures are one node. Nodes that agree in a band share a bucket. Every node of a bucket is paired
 with the bucket's smallest (never all with all); pairs are checked on their whole shingle sets. Buckets that still hold
 more than one component are compared in bounded chunks, across components only, so a link that doesn't pass through the
-smallest isn't lost: there all candidate pairs are looked at inside the task, on whole shingle sets, but only the links of a
-spanning forest leave it. Components are found by alternating large and small stars on written tables.
+smallest isn't lost: there all pairs of a bucket are looked at inside the task, on whole shingle sets, but only the links of a
+spanning forest leave it. Every pair that shares a band is checked, however few other coordinates it agrees in. Components are found by alternating large and small stars on written tables.
 
 Sides whose size follows the data are joined by sort and merge, never broadcast because they happen to be small."""
 
@@ -31,8 +31,6 @@ from ._shared import blocks, mixed, rows_of, split_words, text_array, word_ids,
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, PER_BAND = 24, 5
-#: Pairs whose signatures agree in fewer coordinates aren't checked on their texts: 0.8 less four standard deviations.
-LIKELY = 0.65
 CHUNK = 2048
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
 
@@ -141,11 +139,6 @@ def _checked(at_least: float):
     return check
 
 
-def _agreeing(k: int):
-    same = "aggregate(sequence(0, {0} - 1), 0, (n, i) -> n + if(substring(sa, 4 * i + 1, 4) = substring(sb, 4 * i + 1, 4), 1, 0))"
-    return F.expr(same.format(k)) / k
-
-
 def _grown(df: DataFrame) -> DataFrame:
     """A side that grows with the corpus: no broadcast, at no size."""
     return df.hint("merge")
@@ -180,34 +173,22 @@ def components(edges: DataFrame) -> DataFrame:
         state = found
 
 
-def _candidates(table: pa.Table, k: int, likely: float) -> Iterator[tuple[int, np.ndarray]]:
-    """For the places of a bucket's chunk i the places in chunk j that agree in enough coordinates, of other components."""
+def _candidates(table: pa.Table, total: np.ndarray, similarity: float) -> Iterator[tuple[int, np.ndarray]]:
+    """For the places of a bucket's chunk i the places in chunk j of other components, less those whose number of shingles
+    is too far off for the similarity."""
     component, part = table["component"].to_numpy(), table["c"].to_numpy()
     i, j = table["i"][0].as_py(), table["j"][0].as_py()
-    sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u4").reshape(-1, k)
     cols = np.flatnonzero(part == j)
     for x in np.flatnonzero(part == i).tolist():
         other = cols[component[cols] != component[x]]
         if i == j:
             other = other[other > x]
+        other = other[np.minimum(total[other], total[x]) >= (similarity - 1e-9) * np.maximum(total[other], total[x])]
         if len(other):
-            yield x, other[(sig[other] == sig[x]).sum(axis=1) >= likely * k]
-
-
-def _wanted(k: int, likely: float):
-    """The members of a bucket's chunks that have a candidate of another component."""
-
-    def find(table: pa.Table) -> pa.Table:
-        found = np.zeros(table.num_rows, bool)
-        for x, other in _candidates(table, k, likely):
-            found[other] = True
-            found[x] |= len(other) > 0
-        return table.select(["key", "i", "j", "c", "node"]).filter(pa.array(found))
-
-    return find
+            yield x, other
 
 
-def _joined_up(k: int, likely: float, similarity: float):
+def _joined_up(similarity: float):
     """Links between a bucket's components: candidates not yet joined are checked on their texts; a forest is returned."""
 
     def find(table: pa.Table) -> pa.Table:
@@ -228,7 +209,7 @@ def _joined_up(k: int, likely: float, similarity: float):
         total = np.add.reduceat(np.append(weight, 0), edges[:-1]) * (np.diff(edges) > 0)
         own = np.zeros(int(code.max(initial=-1)) + 1, np.int64)
         out = []
-        for x, other in _candidates(table, k, likely):
+        for x, other in _candidates(table, total, similarity):
             other = np.array([y for y in other.tolist() if top(component[y]) != top(component[x])], np.int64)
             if not len(other):
                 continue
@@ -268,11 +249,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = written(banded.join(_grown(buckets), "key").select("key", "node", "center", "n"), "shared")
     star = shared.where("node > center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
     in_bucket = _grown(shared.select("node").distinct())
-    sig = written(nodes.join(in_bucket, "node", "left_semi").groupBy("node").agg(F.min("sig").alias("sig")), "bucket-signatures")
-    side = lambda x: _grown(sig.select(F.col("node").alias(x), F.col("sig").alias(f"s{x}")))
-    likely = written(star.join(side("a"), "a").join(side("b"), "b").where(_agreeing(k) >= LIKELY).select("a", "b"), "pairs")
     texts = written(rows.join(in_bucket.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "bucket-texts")
-    links = _checked_pairs(likely, texts, similarity).select("a", "b")
+    links = _checked_pairs(star, texts, similarity).select("a", "b")
     own = components(links)
 
     several = shared.where("n > 2").join(_grown(own), "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
@@ -281,11 +259,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = members.withColumn("c", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("i", F.least("c", "other")).withColumn("j", F.greatest("c", "other"))
     members = members.select("key", "i", "j", "c", "node", "component")
-    found = members.join(_grown(sig), "node").groupBy("key", "i", "j").applyInArrow(_wanted(k, LIKELY), "key long, i int, j int, c int, node long")
-    found = written(found, "candidates")
-    found = found.join(_grown(own), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    found = found.join(_grown(sig), "node").join(_grown(texts.withColumnRenamed("doc_id", "node")), "node")
-    more = written(found.groupBy("key", "i", "j").applyInArrow(_joined_up(k, LIKELY, similarity), "a long, b long"), "links")
+    found = members.join(_grown(texts.withColumnRenamed("doc_id", "node")), "node")
+    more = written(found.groupBy("key", "i", "j").applyInArrow(_joined_up(similarity), "a long, b long"), "links")
     if not more.isEmpty():  # from the stars found so far, so few rounds are left
         own = components(own.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
