@@ -8,11 +8,14 @@ suffix array over a corpus can't be cut into tasks, so equal windows are first b
    packed; those found once can't have a repeated window and are done with.
 2. For anchors found more often, the bytes around them that their windows cover (contexts) are read. Of equal contexts
    all but the earliest are repeats as a whole, and one is looked at further.
-3. The different contexts of an anchor meet in one bin of bounded size. What no two of them can share is trimmed, and the
-   rest, joined, gets its suffix array by linear grouping (``_gsaca``): windows that are equal stand together in it, and
-   all but the earliest are repeats.
+3. The different contexts of an anchor meet in one bin. What no two of them can share is trimmed; of what is then equal
+   the earliest goes on; and the rest, joined, gets its suffix array by linear grouping (``_gsaca``): windows that are
+   equal stand together in it, and all but the earliest are repeats. Bins have about BIN_BYTES of contexts, or those of one
+   anchor where it has more, MOST_CONTEXTS of at most 2 * width bytes each.
 
-An anchor with very many different contexts would outgrow a bin; its windows are grouped by their bytes instead."""
+The windows of an anchor with still more different contexts are grouped by their 128-bit digests, which is as exact.
+
+Tables that a later step doesn't need are dropped, so the disk holds one step's tables and shuffles at a time."""
 
 from __future__ import annotations
 
@@ -24,11 +27,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._gsaca import suffix_array
-from ._shared import blocks, mixed, text_array, written
+from ._shared import blocks, drop_written, mixed, text_array, written
 
 GRAM = 32
 BIN_BYTES, MOST_CONTEXTS = 512 << 10, 20_000
@@ -127,7 +130,7 @@ def _fingerprints(n_buckets: int, width: int):
                     o = order[cut[i] : cut[i + 1]]
                     rows.append((i, print32[o].tobytes() + row[o].astype("<u2").tobytes() + number[o].astype("<u4").tobytes()))
                 ids = batch.column(0).slice(a, b - a)
-                meta = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype("<i8").tobytes() + batch.column(1).slice(a, b - a).to_numpy(zero_copy_only=False).astype("<i4").tobytes() + ids.is_valid().to_numpy(zero_copy_only=False).astype("u1").tobytes()
+                meta = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype("<i8").tobytes() + batch.column(1).slice(a, b - a).to_numpy(zero_copy_only=False).astype("<i8").tobytes() + ids.is_valid().to_numpy(zero_copy_only=False).astype("u1").tobytes()
                 rows.append((block % n_buckets, meta))
                 payload = [struct.pack("<q", len(x)) + pa.compress(x, codec="zstd", asbytes=True) for _, x in rows]
                 yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()), pa.array([False] * (len(rows) - 1) + [True]), pa.array(payload, pa.binary())], ["bucket", "block", "is_meta", "payload"])
@@ -164,8 +167,8 @@ def _found_again(table: pa.Table) -> pa.Table:
 def _by_text(table: pa.Table) -> pa.Table:
     """A block's texts with the numbers of their anchors that were found again."""
     meta = _open(table.filter(table["is_meta"])["payload"][0].as_py())
-    n = len(meta) // 13
-    ids, version, valid = np.frombuffer(meta, "<i8", n), np.frombuffer(meta, "<i4", n, 8 * n), np.frombuffer(meta, "u1", n, 12 * n).astype(bool)
+    n = len(meta) // 17
+    ids, version, valid = np.frombuffer(meta, "<i8", n), np.frombuffer(meta, "<i8", n, 8 * n), np.frombuffer(meta, "u1", n, 16 * n).astype(bool)
     data = [_open(x) for x in table.filter(pc.invert(table["is_meta"]))["payload"].to_pylist()]
     row = np.concatenate([np.zeros(0, "<u2"), *(np.frombuffer(x, "<u2", len(x) // 6) for x in data)]).astype(np.int64)
     number = np.concatenate([np.zeros(0, "<u4"), *(np.frombuffer(x, "<u4", len(x) // 6, len(x) // 6 * 2) for x in data)])
@@ -176,7 +179,7 @@ def _by_text(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(ids, mask=~valid), pa.array(version), pa.array(hits, pa.binary())], ["doc_id", "version", "hits"]).filter(some)
 
 
-_CONTEXT = "k1 long, k2 long, h long, doc_id long, version int, lo int, n int, off int, context binary"
+_CONTEXT = "k1 long, k2 long, h long, doc_id long, version long, lo int, n int, off int, context binary"
 
 
 def _contexts(width: int):
@@ -210,7 +213,7 @@ def _contexts(width: int):
                     seen.add(d)
                 many = len(kept)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(h.astype(np.int64)), pa.array([batch.column(0)[i].as_py()] * many, pa.int64()), pa.array([batch.column(1)[i].as_py()] * many, pa.int32()), pa.array(lo.astype("i4")), pa.array(n.astype("i4")), pa.array(off.astype("i4")), pa.array(kept, pa.binary())],
+                    [pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(h.astype(np.int64)), pa.array([batch.column(0)[i].as_py()] * many, pa.int64()), pa.array([batch.column(1)[i].as_py()] * many, pa.int64()), pa.array(lo.astype("i4")), pa.array(n.astype("i4")), pa.array(off.astype("i4")), pa.array(kept, pa.binary())],
                     ["k1", "k2", "h", "doc_id", "version", "lo", "n", "off", "context"],
                 )
 
@@ -247,30 +250,44 @@ def _array_marks(width: int):
         groups: dict[int, list[int]] = {}
         for i, h in enumerate(cols["h"]):
             groups.setdefault(h, []).append(i)
+        place = lambda i, at: (cols["doc_id"][i] is not None, cols["doc_id"][i] or 0, cols["version"][i], cols["lo"][i] + at)
         parts, owner, first = [], [], []  # pieces of text, and for each place the context and its window, or -1
+        out: list[tuple] = []
         for own in groups.values():
             if len(own) < 2:
                 continue
             text = [cols["context"][i] for i in own]
             off = [cols["off"][i] for i in own]
             right, left = _reach([t[o:] for t, o in zip(text, off, strict=True)]), _reach([t[:o][::-1] for t, o in zip(text, off, strict=True)])
+            earliest: dict[tuple[int, bytes], tuple] = {}
             for i, t, o, r, f in zip(own, text, off, right, left, strict=True):
                 start, stop = o - f, o + r
-                if stop - start >= width:
-                    parts.append(t[start:stop] + b"\x00")
-                    windows = stop - start - width + 1
-                    owner += [i] * windows + [-1] * (width + 0)
-                    first += list(range(start, start + windows)) + [0] * width
+                if stop - start < width:
+                    continue
+                # of equal pieces at equal places of the anchor the earliest goes on, the others are repeats as a whole
+                windows, key, now = stop - start - width + 1, (f, t[start:stop]), (place(i, start), i, start)
+                then = earliest.setdefault(key, now)
+                if then is not now:
+                    later = max(then, now)
+                    earliest[key] = min(then, now)
+                    out.append((cols["doc_id"][later[1]], cols["version"][later[1]], cols["lo"][later[1]] + later[2], windows))
+            if len(earliest) < 2:
+                continue
+            for (_, piece), (_, i, start) in earliest.items():
+                windows = len(piece) - width + 1
+                parts.append(piece + b"\x00")
+                owner += [i] * windows + [-1] * width
+                first += list(range(start, start + windows)) + [0] * width
         data = b"".join(parts)
         marked: dict[int, list[int]] = {}
-        place = lambda s: (cols["doc_id"][owner[s]] is not None, cols["doc_id"][owner[s]] or 0, cols["version"][owner[s]], cols["lo"][owner[s]] + first[s])
         last, same = None, []
 
         def close() -> None:
             if len(same) > 1:
-                earliest = min(place(s) for s in same)
-                for s in same:
-                    if place(s) != earliest:
+                places = [place(owner[s], first[s]) for s in same]
+                least = min(places)
+                for s, at in zip(same, places, strict=True):
+                    if at != least:
                         marked.setdefault(owner[s], []).append(first[s])
 
         for s in suffix_array(data):
@@ -281,7 +298,6 @@ def _array_marks(width: int):
                     last, same = window, []
                 same.append(s)
         close()
-        out: list[tuple] = []
         for i, starts in marked.items():
             starts.sort()
             a = 0
@@ -289,7 +305,7 @@ def _array_marks(width: int):
                 if b == len(starts) or starts[b] != starts[b - 1] + 1:
                     out.append((cols["doc_id"][i], cols["version"][i], cols["lo"][i] + starts[a], b - a))
                     a = b
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
         return pa.table([pa.array([x[j] for x in out], kind) for j, kind in enumerate(kinds)], ["doc_id", "version", "lo", "n"])
 
     return find
@@ -323,6 +339,45 @@ def _removed(width: int):
     return cut
 
 
+def _at() -> Column:
+    return F.struct("doc_id", "version", "lo")
+
+
+def _firsts(contexts: DataFrame) -> DataFrame:
+    """(k1, k2, h, first, times) of each different context; bytes don't travel."""
+    return contexts.where("context is not null").groupBy("k1", "k2").agg(F.min(_at()).alias("first"), F.max("h").alias("h"), F.count(F.lit(1)).alias("times"))
+
+
+def _equal_contexts(contexts: DataFrame) -> DataFrame:
+    """(doc_id, version, lo, n): the windows of contexts that an earlier place has as a whole."""
+    firsts = _firsts(contexts).where("times > 1").select("k1", "k2", "first").hint("merge")
+    later = contexts.where("context is not null").select("k1", "k2", "doc_id", "version", "lo", "n").join(firsts, ["k1", "k2"]).where(~_at().eqNullSafe(F.col("first")))
+    own = contexts.where("context is null")  # the text has had it before
+    return own.select("doc_id", "version", "lo", "n").union(later.select("doc_id", "version", "lo", "n"))
+
+
+def _several(contexts: DataFrame) -> DataFrame:
+    """The first places, with bytes, of the contexts of anchors that have several different ones; ``many``: how many."""
+    firsts = written(_firsts(contexts).select("k1", "k2", "h", "first"), "firsts")
+    many = firsts.groupBy("h").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    few = firsts.join(many.hint("merge"), "h").select("many", F.col("first.doc_id").alias("f_id"), F.col("first.version").alias("f_version"), F.col("first.lo").alias("f_lo"), "k1", "k2").hint("merge")
+    sent = contexts.where("context is not null").join(few, ["k1", "k2"]).where(F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("version") == F.col("f_version")) & (F.col("lo") == F.col("f_lo")))
+    return sent.select("h", "many", "n", "off", "context", "doc_id", "version", "lo")
+
+
+def _different_contexts(several: DataFrame, width: int) -> DataFrame:
+    """(doc_id, version, lo, n): windows that an earlier, different context of the same anchor has too."""
+    total = several.where(F.col("many") <= MOST_CONTEXTS).agg(F.sum(F.octet_length("context"))).first()[0] or 0
+    bins = max(1, -(-total // BIN_BYTES))
+    binned = several.where(F.col("many") <= MOST_CONTEXTS).withColumn("bin", F.pmod(F.xxhash64("h"), F.lit(bins)))
+    marks = binned.groupBy("bin").applyInArrow(_array_marks(width), "doc_id long, version long, lo int, n int")
+    crowd = several.where(F.col("many") > MOST_CONTEXTS).withColumn("w", F.explode(F.expr("sequence(0, n - 1)")))
+    crowd = crowd.select("h", F.expr(f"unhex(md5(substring(context, w + 1, {width})))").alias("window"), "doc_id", "version", F.expr("lo + w").alias("lo"))
+    earliest = crowd.groupBy("h", "window").agg(F.min(_at()).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1").select("h", "window", "first")
+    later = crowd.join(earliest.hint("merge"), ["h", "window"]).where(~_at().eqNullSafe(F.col("first")))
+    return marks.union(later.select("doc_id", "version", "lo", F.lit(1).alias("n")))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 100, n_buckets: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, removed (array of (start, stop) in UTF-8 bytes), kept (binary).
 
@@ -331,9 +386,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     treated alike; of rows that repeat an id with other texts the order is that of a hash of the text; a null id comes
     before all others. An empty table gives no rows; other columns are ignored. n_buckets: of fingerprints, by default
     the session's shuffle partitions."""
-    n_buckets = n_buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = docs.sparkSession
+    n_buckets = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(text).alias("version"), text.alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text"))
     whole = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"))
     ids = rows.select("doc_id", "version", whole.alias("whole"), F.octet_length("text").alias("size"))
     same = ids.groupBy("whole").agg(F.min(F.struct("doc_id", "version")).alias("first"), F.max(F.struct("doc_id", "version")).alias("last")).where(~F.col("first").eqNullSafe(F.col("last")))
@@ -341,34 +397,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = written(copies.select("doc_id", "version", F.lit(0).alias("lo"), (F.col("size") - width + 1).alias("n")), "copies")
     dealt = rows.mapInArrow(_fingerprints(n_buckets, width), "bucket int, block long, is_meta boolean, payload binary")
     again = dealt.groupBy("bucket").applyInArrow(_found_again, "block long, is_meta boolean, payload binary")
-    hits = again.groupBy("block").applyInArrow(_by_text, "doc_id long, version int, hits binary")
+    hits = again.groupBy("block").applyInArrow(_by_text, "doc_id long, version long, hits binary")
     hits = hits.groupBy("doc_id", "version").agg(F.min("hits").alias("hits"))  # rows that are the same document
     one = lambda a: [F.col("doc_id").eqNullSafe(F.col(f"{a}_id")), F.col("version") == F.col(f"{a}_version")]
     named = lambda df, a: df.withColumnRenamed("doc_id", f"{a}_id").withColumnRenamed("version", f"{a}_version")
-    hits = hits.join(named(copies.select("doc_id", "version").distinct().hint("merge"), "c"), one("c"), "left_anti")
-    texts = rows.join(named(hits, "h"), one("h")).select("doc_id", "version", "text", "hits")
+    hits = written(hits.join(named(copies.select("doc_id", "version").distinct().hint("merge"), "c"), one("c"), "left_anti"), "hits")
+    texts = rows.join(named(hits.hint("merge"), "h"), one("h")).select("doc_id", "version", "text", "hits")
     contexts = written(texts.mapInArrow(_contexts(width), _CONTEXT), "contexts")
+    drop_written(hits)
 
-    at = F.struct("doc_id", "version", "lo")
-    sent = contexts.where("context is not null")
-    whole = sent.groupBy("k1", "k2").agg(F.min(at).alias("first"), F.any_value(F.struct("h", "n", "off", "context")).alias("c"))
-    whole = whole.select("k1", "k2", "first", "c.*")
-    marks = copies.union(contexts.where("context is null").select("doc_id", "version", "lo", "n"))
-    firsts = whole.select("k1", "k2", "first")
-    marks = marks.union(sent.drop("context").join(firsts, ["k1", "k2"]).where(~at.eqNullSafe(F.col("first"))).select("doc_id", "version", "lo", "n"))
-
-    per_h = whole.groupBy("h").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
-    several = whole.join(per_h, "h").select("h", "many", "n", "off", "context", "first.*")
-    several = written(several, "several")
-    total = several.where(F.col("many") <= MOST_CONTEXTS).agg(F.sum(F.octet_length("context"))).first()[0] or 0
-    bins = max(1, -(-total // BIN_BYTES))
-    binned = several.where(F.col("many") <= MOST_CONTEXTS).withColumn("bin", F.pmod(F.xxhash64("h"), F.lit(bins)))
-    marks = marks.union(binned.groupBy("bin").applyInArrow(_array_marks(width), "doc_id long, version int, lo int, n int"))
-    start = F.expr("lo + w").alias("lo")
-    crowd = several.where(F.col("many") > MOST_CONTEXTS).withColumn("w", F.explode(F.expr("sequence(0, n - 1)")))
-    crowd = crowd.select("h", F.expr(f"substring(context, w + 1, {width})").alias("window"), "doc_id", "version", start)
-    earliest = crowd.groupBy("h", "window").agg(F.min(at).alias("first"))
-    marks = marks.union(crowd.join(earliest, ["h", "window"]).where(~at.eqNullSafe(F.col("first"))).select("doc_id", "version", "lo", F.lit(1).alias("n")))
+    marks = [copies, written(_equal_contexts(contexts), "marks")]
+    several = written(_several(contexts), "several")
+    drop_written(contexts)
+    marks.append(written(_different_contexts(several, width), "marks"))
+    drop_written(several)
+
+    found = marks[0].union(marks[1]).union(marks[2]).groupBy("doc_id", "version").agg(F.collect_list(F.struct("lo", "n")).alias("marks"))
+    return rows.join(named(found.hint("merge"), "m"), one("m"), "left").select("doc_id", "text", "marks").mapInArrow(_removed(width), "doc_id long, n_bytes long, n_removed long, removed array<struct<start:int,stop:int>>, kept binary")
 
-    marks = marks.groupBy("doc_id", "version").agg(F.collect_list(F.struct("lo", "n")).alias("marks"))
-    return rows.join(named(marks, "m"), one("m"), "left").select("doc_id", "text", "marks").mapInArrow(_removed(width), "doc_id long, n_bytes long, n_removed long, removed array<struct<start:int,stop:int>>, kept binary")
