@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
 import tempfile
 import uuid
 
@@ -21,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may leave it unset; it then gets a folder of its own, once per session."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
         spark.conf.set("spark.checkpoint.dir", found)
@@ -29,25 +32,68 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _written: list[str] = []
+#: Shuffle files of a write go when it is done; else they stay until the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, for ``clear_written`` to delete."""
+    path = f"{shared_dir(spark)}/ledgerloom/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for a while."""
+    before = {k: spark.conf.get(k) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def written(df: DataFrame, name: str, *by: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: it cuts lineage, and lost executors don't lose it.
 
-    Results are lazy and may still read it, so it stays until ``clear_written``."""
+    Results are lazy and may still read it, so it stays until ``clear_written``, which also runs when the process ends, or
+    until ``drop_written`` where nothing lazy is left that reads it. by: columns of its partitions."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/ledgerloom/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = written_path(spark, name)
+    with settings(spark, {CLEANUP: "true"}):
+        df.write.partitionBy(*by).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
 
 
-def clear_written(spark: SparkSession) -> None:
-    """Delete the tables that this process has written; call it once results are saved."""
-    conf = spark._jsc.hadoopConfiguration()
-    while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop_written(*tables: DataFrame) -> None:
+    """Delete written tables that nothing lazy reads any more."""
+    for df in tables:
+        _delete(df.sparkSession, df.written_at)
+        _written.remove(df.written_at)
+
+
+def clear_written(spark: SparkSession, mark: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Delete the tables that this process has written (since there were ``mark`` of them); call it once results are saved."""
+    for path in [x for x in _written[mark:] if x not in keep]:
+        _delete(spark, path)
+        _written.remove(path)
+
+
+@atexit.register
+def _clear_at_exit() -> None:
+    spark = SparkSession.getActiveSession() if _written else None
+    if spark is not None:
+        clear_written(spark)
 
 
 def text_array(column) -> pa.Array:
@@ -97,3 +143,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
+
+
+def without_case(columns: list[str], names: tuple[str, ...]) -> list[str]:
+    """``columns`` less those that are one of ``names``, in any case."""
+    return [c for c in columns if c.lower() not in names]

@@ -167,12 +167,12 @@ def test_signatures_estimate_weighted_similarity():
 
 def brute_lines(rows):
     key = lambda x: x.strip(" \t\n\x0b\f\r").translate({c: c + 32 for c in range(65, 91)})
-    holders = defaultdict(list)
-    for r in rows:
+    holders = defaultdict(set)
+    for n, r in enumerate(rows):
         for k in {key(x) for x in (r.text or "").split("\n")}:
             if len(k) >= 20:
-                holders[k].append(r.doc_id)
-    last = {k: max([i for i in v if i is not None], default=None) for k, v in holders.items() if len(v) >= 3}
+                holders[k].add((r.doc_id, n if r.doc_id is None else 0))
+    last = {k: max([i for i, _ in v if i is not None], default=None) for k, v in holders.items() if len(v) >= 3}
     out = []
     for r in rows:
         lines = (r.text or "").split("\n")
@@ -182,30 +182,39 @@ def brute_lines(rows):
 
 
 def test_lines(docs, rows, none):
-    for batches, fanout in ((1, 4), (5, 2)):
+    for batches, fanout in ((1, 4), (5, 2), (4, 3)):
         out = line_dedup.dedup_lines(docs, n_batches=batches, fanout=fanout)
         assert sorted((str(r.doc_id), r.n_lines, r.n_dropped, r.text) for r in out.collect()) == brute_lines(rows)
     assert line_dedup.dedup_lines(none).count() == 0
 
 
 def test_passages(docs, rows, none):
-    seen, first = defaultdict(list), {}
+    first, found = {}, {}
+    place = lambda r, a: (r.doc_id is not None, r.doc_id or 0, r.text or "", a)
     for r in rows:
-        for a, b in passages.units(r.text or "", "sentence", 8):
-            w = (r.text or "")[a:b].lower().split()
-            if len(w) >= 8:
-                seen[" ".join(w)].append((r.doc_id is not None, r.doc_id or 0, r.text, a))
-    first = {k: min(v, key=lambda x: (x[0], x[1], x[3])) for k, v in seen.items()}
-    for r, got in zip(sorted(rows, key=lambda r: (str(r.doc_id), r.text or "")), sorted(passages.dedup_passages(docs).collect(), key=lambda r: (str(r.doc_id), r.text or "")), strict=True):
+        own = [(n, a, b, w) for n, (a, b) in enumerate(passages.units(r.text or "", "run", 8)) if len(w := (r.text or "")[a:b].lower().split()) >= 8]
+        found[place(r, 0)] = own
+        for _, a, _, w in own:
+            k = " ".join(w)
+            first[k] = min(first.get(k, place(r, a)), place(r, a))
+    by = lambda r: (str(r.doc_id), r.text or "")
+    for r, got in zip(sorted(rows, key=by), sorted(passages.dedup_passages(docs).collect(), key=lambda r: (str(r.doc_id), r.text or "")), strict=True):
         assert r.doc_id == got.doc_id
-        cut = [(a, b) for a, b in passages.units(r.text or "", "sentence", 8) if len(w := (r.text or "")[a:b].lower().split()) >= 8 and first[" ".join(w)] != (r.doc_id is not None, r.doc_id or 0, r.text, a)]
+        again = [(n, a, b, len(w)) for n, a, b, w in found[place(r, 0)] if first[" ".join(w)] != place(r, a)]
+        runs = []
+        for x in again:
+            if runs and runs[-1][-1][0] + 1 == x[0]:
+                runs[-1].append(x)
+            else:
+                runs.append([x])
+        cut = [(a, b) for run in runs if sum(x[3] for x in run) >= passages.MIN_RUN for _, a, b, _ in run]
         assert [(s.start, s.stop) for s in got.removed or []] == cut
     assert passages.dedup_passages(none).count() == 0
 
 
 @given(st.text())
 def test_units_cover_whole_texts(text):
-    for kind in ("sentence", "line"):
+    for kind in ("run", "line"):
         spans = list(passages.units(text, kind))
         assert all(a < b for a, b in spans) and all(x[1] <= y[0] for x, y in zip(spans, spans[1:], strict=False))
         assert sum(b - a for a, b in spans) == len(text) - text.count("\n")
