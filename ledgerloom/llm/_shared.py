@@ -104,9 +104,10 @@ def text_array(column) -> pa.Array:
     return pc.fill_null(arr.cast(pa.large_string()), "")
 
 
-def blocks(texts: pa.Array, most_bytes: int = 4 << 20, most_rows: int = 20_000):
-    """(start, stop) of runs of rows with about ``most_bytes`` of text; a longer text is a block of its own."""
-    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+def blocks(texts: pa.Array, most_bytes: int = 4 << 20, most_rows: int = 20_000, size: pa.Array | None = None):
+    """(start, stop) of runs of rows with about ``most_bytes`` of text; a longer text is a block of its own. size: bytes of
+    the rows, by default those of ``texts``."""
+    size = np.cumsum((pc.binary_length(texts) if size is None else size).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(texts):
         done = size[start - 1] if start else 0

@@ -8,11 +8,13 @@ coordinate is the signature's value there; two texts agree in a coordinate with
 similarity. Ranks are followed only as far as k ln k + 2k darts are expected, for a text of any length, and doubled for
 texts that left a coordinate empty.
 
-Texts with equal signatures are one node. Nodes that agree in a band share a bucket. Every node of a bucket is paired
-with the bucket's smallest (never all with all); pairs are checked on their whole shingle sets. Buckets that still hold
-more than one component are compared in bounded chunks, across components only, so a link that doesn't pass through the
-smallest isn't lost: there all pairs of a bucket are looked at inside the task, on whole shingle sets, but only the links of a
-spanning forest leave it. Every pair that shares a band is checked, however few other coordinates it agrees in. Components are found by alternating large and small stars on written tables.
+A node is a text, named by its 128-bit digest, so copies are one node and versions of an id are nodes apart. Nodes that
+agree in a band share a bucket. Every node of a bucket is paired with the bucket's smallest (never all with all); pairs
+are checked on their whole shingle sets. Buckets that still hold more than one component are compared in chunks of bounded
+rows and bytes, across components only, so a link that doesn't pass through the smallest isn't lost: there all pairs of a
+bucket are looked at inside the task, on whole shingle sets, but only the links of a spanning forest leave it. Every pair
+that shares a band is checked, however few other coordinates it agrees in, and no link goes unchecked. Components are found by
+alternating large and small stars on written tables.
 
 Sides whose size follows the data are joined by sort and merge, never broadcast because they happen to be small."""
 
@@ -23,15 +25,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import blocks, mixed, rows_of, split_words, text_array, word_ids, written
+from ._shared import WORD_PATTERN, blocks, mixed, rows_of, split_words, text_array, word_ids, written
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, PER_BAND = 24, 5
-CHUNK = 2048
+#: Most nodes, and about as many bytes of text, of a chunk of a bucket.
+CHUNK, CHUNK_BYTES = 2048, 8 << 20
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
 
 
@@ -101,14 +105,14 @@ def dart_signatures(row: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int,
 def _sign(k: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = text_array(batch.column(1))
+            texts = text_array(batch.column(2))
             for a, b in blocks(texts):
                 row, h, weight = elements(texts.slice(a, b - a))
                 has = np.zeros(b - a, bool)
                 has[row] = True
                 sigs = [x.tobytes() if y else None for x, y in zip(dart_signatures(row, h, weight, b - a, k).astype("<u4"), has.tolist(), strict=True)]
-                key = [[None if s is None else xxhash.xxh64_intdigest(s, seed) - 2**63 for s in sigs] for seed in (0, 1)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(key[0], pa.int64()), pa.array(key[1], pa.int64()), pa.array(sigs, pa.binary())], ["doc_id", "s1", "s2", "sig"])
+                size = pc.binary_length(texts.slice(a, b - a)).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), size, pa.array(sigs, pa.binary())], ["doc_id", "node", "size", "sig"])
 
     return sign
 
@@ -131,7 +135,8 @@ def _checked(at_least: float):
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = text_array(batch.column(2)), text_array(batch.column(3))
-            for a, b in blocks(left):
+            both = pc.add(pc.binary_length(left), pc.binary_length(right))
+            for a, b in blocks(left, size=both):
                 s = similarities(left.slice(a, b - a), right.slice(a, b - a))
                 ok = pa.array(s >= at_least - 1e-12)
                 yield pa.RecordBatch.from_arrays([batch.column(i).slice(a, b - a).filter(ok) for i in (0, 1)] + [pa.array(s).filter(ok)], ["a", "b", "similarity"])
@@ -146,9 +151,9 @@ def _grown(df: DataFrame) -> DataFrame:
 
 def _checked_pairs(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The (a, b) of ``pairs`` whose texts are similar enough."""
-    side = lambda x: _grown(texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}")))
+    side = lambda x: _grown(texts.select(F.col("node").alias(x), F.col("text").alias(f"t{x}")))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
-    return written(both.mapInArrow(_checked(similarity), "a long, b long, similarity double"), "links")
+    return written(both.mapInArrow(_checked(similarity), "a binary, b binary, similarity double"), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -176,7 +181,7 @@ def components(edges: DataFrame) -> DataFrame:
 def _candidates(table: pa.Table, total: np.ndarray, similarity: float) -> Iterator[tuple[int, np.ndarray]]:
     """For the places of a bucket's chunk i the places in chunk j of other components, less those whose number of shingles
     is too far off for the similarity."""
-    component, part = table["component"].to_numpy(), table["c"].to_numpy()
+    component, part = word_ids(table["component"].combine_chunks())[0], table["c"].to_numpy()
     i, j = table["i"][0].as_py(), table["j"][0].as_py()
     cols = np.flatnonzero(part == j)
     for x in np.flatnonzero(part == i).tolist():
@@ -223,55 +228,83 @@ def _joined_up(similarity: float):
                 if top(component[y]) != top(component[x]):
                     root[top(component[y])] = top(component[x])
                     out.append((max(node[x], node[y]), min(node[x], node[y])))
-        return pa.table([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
+        return pa.table([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())], ["a", "b"])
 
     return find
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, per_band: int = PER_BAND) -> DataFrame:
-    """One row (doc_id, class_id) per row of ``docs``; class_id is the smallest id of the document's class.
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(f"`{text_col}`").cast("string")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("node"), text.alias("text"))
 
-    A class is a component of the links between texts of similarity ``similarity`` or more (weighted Jaccard of five-word
-    shingles; words are split at ASCII white space). Texts with equal signatures are linked. At 0.8 a pair shares a band
-    with odds of 0.9999. A null text, and one without words, is a class of its own; so is a row with a null id, whose class
-    is null. Rows that repeat an id are versions of one document and share a class. An empty table gives no rows; other
-    columns are ignored."""
-    k = bands * per_band
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sigs = written(rows.mapInArrow(_sign(k), "doc_id long, s1 long, s2 long, sig binary"), "signatures")
-    signed = sigs.where("sig is not null and doc_id is not null")
-    nodes = written(signed.groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.any_value("sig").alias("sig")), "nodes")
-    rows = rows.where("doc_id is not null")
 
+def _links(rows: DataFrame, nodes: DataFrame, similarity: float, bands: int, per_band: int) -> DataFrame:
+    """(node, component) of the nodes that aren't the smallest of theirs. nodes: (node, first, size, sig)."""
     key = F.array(*[F.xxhash64(F.lit(b), F.substring("sig", 4 * per_band * b + 1, 4 * per_band)) for b in range(bands)])
-    banded = nodes.select("node", F.explode(key).alias("key"))
+    banded = nodes.select("node", "size", F.explode(key).alias("key"))
     buckets = written(banded.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
-    shared = written(banded.join(_grown(buckets), "key").select("key", "node", "center", "n"), "shared")
-    star = shared.where("node > center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
-    in_bucket = _grown(shared.select("node").distinct())
-    texts = written(rows.join(in_bucket.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "bucket-texts")
+    shared = written(banded.join(_grown(buckets), "key").select("key", "node", "size", "center", "n"), "shared")
+    star = shared.where("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
+    in_bucket = nodes.join(_grown(shared.select("node").distinct()), "node", "left_semi").select("node", F.col("first").alias("doc_id"))
+    texts = written(rows.join(_grown(in_bucket), ["node", "doc_id"]).groupBy("node").agg(F.min("text").alias("text")), "bucket-texts")
     links = _checked_pairs(star, texts, similarity).select("a", "b")
     own = components(links)
 
-    several = shared.where("n > 2").join(_grown(own), "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    still = several.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")).where("lo < hi")
+    several = shared.where("n > 2").join(_grown(own), "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("component"))
+    chunks = F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK, F.sum("size") / CHUNK_BYTES)).cast("int")
+    still = several.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), chunks.alias("chunks")).where("lo < hi")
     members = several.join(_grown(still.select("key", "chunks")), "key")
     members = members.withColumn("c", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("i", F.least("c", "other")).withColumn("j", F.greatest("c", "other"))
     members = members.select("key", "i", "j", "c", "node", "component")
-    found = members.join(_grown(texts.withColumnRenamed("doc_id", "node")), "node")
-    more = written(found.groupBy("key", "i", "j").applyInArrow(_joined_up(similarity), "a long, b long"), "links")
+    found = members.join(_grown(texts), "node")
+    more = written(found.groupBy("key", "i", "j").applyInArrow(_joined_up(similarity), "a binary, b binary"), "links")
     if not more.isEmpty():  # from the stars found so far, so few rounds are left
         own = components(own.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    return own
+
 
-    out = sigs.select("doc_id", "s1", "s2").join(_grown(nodes.select("s1", "s2", "node")), ["s1", "s2"], "left").join(_grown(own), "node", "left")
-    return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("class_id"))
+def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, bands: int, per_band: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, node) of the rows, node null without words; and (node, first, component) of each text, first being its smallest id."""
+    rows = _rows(docs, id_col, text_col)
+    sigs = written(rows.mapInArrow(_sign(bands * per_band), "doc_id long, node binary, size long, sig binary"), "signatures")
+    nodes = written(sigs.where("sig is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("first"), F.any_value("size").alias("size"), F.any_value("sig").alias("sig")), "nodes")
+    own = _links(rows.where("doc_id is not null"), nodes, similarity, bands, per_band)
+    texts = nodes.select("node", "first").join(_grown(own), "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
+    return sigs.select("doc_id", F.when(F.col("sig").isNotNull(), F.col("node")).alias("node")), written(texts, "classes")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of each class of ``near_duplicates``: that with the smallest id. Rows with a null id all stay."""
-    classes = near_duplicates(docs, id_col, text_col, **options)
-    first = classes.where("doc_id = class_id").select(F.col("doc_id").alias("__id")).distinct()
-    ided = docs.where(F.col(f"`{id_col}`").isNotNull())
-    kept = ided.join(first, F.col(f"`{id_col}`").cast("long") == F.col("__id"), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, per_band: int = PER_BAND) -> DataFrame:
+    """One row (doc_id, class_id, class_key) per row of ``docs``; class_id is the smallest id of the row's class, class_key (hex)
+    names the class itself.
+
+    A class is a component of the links between texts of similarity ``similarity`` or more (weighted Jaccard of five-word
+    shingles; words are split at ASCII white space). At 0.8 a pair shares a band with odds of 0.9999. A null text, and one
+    without words, is a class of its own without a key; so is a row with a null id, whose class_id is null. Rows that repeat
+    an id are linked only as far as their texts are: versions of one id can be in classes that have the same smallest id,
+    and class_key tells these apart. An empty table gives no rows; other columns are ignored."""
+    rows, texts = _classes(docs, id_col, text_col, similarity, bands, per_band)
+    least = texts.groupBy("component").agg(F.min("first").alias("class_id"))
+    texts = texts.join(_grown(least), "component").select("node", "class_id", "component")
+    known = F.col("doc_id").isNotNull()
+    out = rows.join(_grown(texts), "node", "left")
+    return out.select("doc_id", F.when(known, F.coalesce("class_id", "doc_id")).alias("class_id"), F.when(known, F.hex("component")).alias("class_key"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, per_band: int = PER_BAND) -> DataFrame:
+    """One row of each class of ``near_duplicates``: the text with the smallest id, of several under that id the one with the
+    smallest digest, of repeated rows the one with the smallest hash.
+
+    Rows with a null id all stay, and so do those without words. An empty table gives no rows."""
+    rows, texts = _classes(docs, id_col, text_col, similarity, bands, per_band)
+    first = texts.groupBy("component").agg(F.min(F.struct("first", "node")).alias("f")).select(F.col("f.first").alias("doc_id"), F.col("f.node").alias("node"))
+    times = rows.where("node is not null").join(_grown(first), ["doc_id", "node"]).groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("times"))
+    times = written(times.select(F.col("doc_id").alias("__id"), F.col("node").alias("__node"), "times"), "kept")
+    text = F.col(f"`{text_col}`").cast("string")
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("node"), F.coalesce(text.rlike(WORD_PATTERN), F.lit(False)).alias("worded"))
+    named = named.join(_grown(times), (F.col("doc_id") == F.col("__id")) & (F.col("node") == F.col("__node")), "left")
+    out = named.where("doc_id is null or not worded or times = 1").select("row")
+    if not times.where("times > 1").isEmpty():
+        again = named.where("worded and times > 1").groupBy("doc_id", "node").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+        out = out.union(again.select("row"))
+    return out.select("row.*")
