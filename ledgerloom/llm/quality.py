@@ -1,10 +1,13 @@
 """Quality rules with thresholds learnt per language and source.
 
 Each text is measured once in vectorised blocks. Four ratios of the documents that pass the fixed base rules go into
-mergeable quantile sketches: counts per bucket, a bucket being a value rounded down to its six leading bits, so that a
-quantile is off by 1/32 of its value at most and sketches of parts, sources or days merge by adding counts. A group's
-fences come from the quartiles of its sketch (a group of under ``least`` documents uses its language's merged sketch,
-and a language of under ``least`` that of all); the small table of fences is joined back to filter."""
+mergeable quantile sketches: counts per bucket, a bucket being a value rounded down to its BITS leading bits, so that a
+quantile is off by 1/256 of its value at most and sketches of parts, sources or days merge by adding counts. A group's
+fence lies beyond an upper quantile of its sketch by a multiple of that quantile's distance from the median (and for word
+length below a lower one), so it moves with what is usual in the group. The quantile is as far out as the junk that the
+base rules let through allows. A group of under LEAST documents uses its language's merged sketch, and a language of
+under LEAST that of all. A few units on top (letters, symbols, lines, words), the same for a text of any length, keep
+short texts from failing by one repeated line. The small table of fences is joined back to filter."""
 
 from __future__ import annotations
 
@@ -21,14 +24,15 @@ from pyspark.sql.window import Window
 from ._shared import ASCII_SPACE, blocks, rows_of, split_words, text_array, word_ids, written
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
-#: ratio: (of what, per what, times, slack above and below the fence, whether low values count too)
+#: ratio: (of what, per what, times, upper and lower quantile in %, reach, units on top)
 RATIOS = {
-    "word_length": ("word_chars", "n_words", 1000, 1000, True),
-    "symbols": ("n_symbols", "n_words", 1000, 100, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 600, False),
-    "repeats": ("n_repeat_words", "n_words", 1000, 350, False),
+    "word_length": ("word_chars", "n_words", 1000, 75, 25, 16, 60),
+    "symbols": ("n_symbols", "n_words", 1000, 90, None, 4, 8),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 98, None, 4, 2),
+    "repeats": ("n_repeat_words", "n_words", 1000, 98, None, 4, 40),
 }
-REACH, LEAST = 4, 64
+#: A ratio is never held closer than this, in thousandths: 1% is below what a writer minds.
+CLOSEST, LEAST, MIN_WORDS, BITS = 10, 200, 50, 9
 _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
 
 
@@ -93,8 +97,8 @@ def measured(rows: DataFrame, text_col: str) -> DataFrame:
     return sent.mapInArrow(_measured, kind)
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+def base_failed(min_words: int = MIN_WORDS) -> Column:
+    return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
 def _ratio(name: str) -> Column:
@@ -102,11 +106,11 @@ def _ratio(name: str) -> Column:
     return F.when(F.col(per) > 0, F.expr(f"({of} * {times}) div {per}")).otherwise(F.lit(0).cast("long"))
 
 
-def sketches(scored: DataFrame, groups: list[str]) -> DataFrame:
+def sketches(scored: DataFrame, groups: list[str], min_words: int = MIN_WORDS) -> DataFrame:
     """(groups.., ratio, bucket, n): quantile sketches of the documents that pass the base rules."""
     values = F.array(*[F.struct(F.lit(k).alias("ratio"), _ratio(k).alias("v")) for k in RATIOS])
-    rows = scored.where(~base_failed()).select(*groups, F.explode(values).alias("x")).select(*groups, "x.ratio", "x.v")
-    drop = F.greatest(F.length(F.bin("v")) - 6, F.lit(0))
+    rows = scored.where(~base_failed(min_words)).select(*groups, F.explode(values).alias("x")).select(*groups, "x.ratio", "x.v")
+    drop = F.greatest(F.length(F.bin("v")) - BITS, F.lit(0))
     bucket = F.expr("shiftleft(shiftright(v, d), d)")
     return rows.withColumn("d", drop).groupBy(*groups, "ratio", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -116,48 +120,50 @@ def merged(sketch: DataFrame, groups: list[str]) -> DataFrame:
 
 
 def fences(sketch: DataFrame, groups: list[str]) -> DataFrame:
-    """(groups.., n_docs, fences: map of ratio to (low, high)) from quartiles of the sketches.
+    """(groups.., n_docs, and a column of thousandths for each of ``_limits``) from quantiles of the sketches.
 
-    A window runs over the buckets of one sketch, of which there are a few hundred at most."""
+    A window runs over the buckets of one sketch, of which there are some thousand at most."""
     by = Window.partitionBy(*groups, "ratio").orderBy("bucket")
     s = sketch.withColumn("below", F.sum("n").over(by)).withColumn("all", F.sum("n").over(Window.partitionBy(*groups, "ratio")))
     q = lambda p: F.min(F.when(F.col("below") * 100 >= F.col("all") * p, F.col("bucket")))
-    s = s.groupBy(*groups, "ratio").agg(F.max("all").alias("n_docs"), q(25).alias("q1"), q(75).alias("q3"))
+    places = sorted({50, *(p for x in RATIOS.values() for p in x[3:5] if p is not None)})
+    s = s.groupBy(*groups, "ratio").agg(F.max("all").alias("n_docs"), *[q(p).alias(f"q{p}") for p in places])
     out = []
-    for name, (_, _, _, slack, both) in RATIOS.items():
-        at, reach = F.col("ratio") == name, REACH * (F.col("q3") - F.col("q1")) + slack
-        out.append(F.max(F.when(at, F.col("q3") + reach)).alias(f"{name}_high"))
-        if both:
-            out.append(F.max(F.when(at, F.col("q1") - reach)).alias(f"{name}_low"))
+    for name, (_, _, _, up, down, reach, _) in RATIOS.items():
+        at, mid = F.col("ratio") == name, F.col("q50")
+        out.append(F.max(F.when(at, F.col(f"q{up}") + reach * (F.col(f"q{up}") - mid) + CLOSEST)).alias(f"{name}_high"))
+        if down is not None:
+            out.append(F.max(F.when(at, F.col(f"q{down}") - reach * (mid - F.col(f"q{down}")) - CLOSEST)).alias(f"{name}_low"))
     return s.groupBy(*groups).agg(F.max("n_docs").alias("n_docs"), *out)
 
 
 def _limits() -> list[str]:
-    return [f"{k}_{side}" for k, x in RATIOS.items() for side in (("high", "low") if x[4] else ("high",))]
+    return [f"{k}_{side}" for k, x in RATIOS.items() for side in (("high", "low") if x[4] is not None else ("high",))]
 
 
-def thresholds(scored: DataFrame) -> DataFrame:
+def thresholds(scored: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Fences per (lang, source), of the language or of all where a group is small; one row per group."""
-    own = written(sketches(scored, ["lang", "source"]), "sketch")
+    own = written(sketches(scored, ["lang", "source"], min_words), "sketch")
     limits = _limits()
     named = lambda df, p: df.select(*[F.col(c).alias(p + c) for c in df.columns])
     by_lang, by_all = named(fences(merged(own, ["lang"]), ["lang"]), "l_"), named(fences(merged(own, []), []), "a_")
     rows = fences(own, ["lang", "source"])
-    rows = rows.join(by_lang, rows["lang"].eqNullSafe(F.col("l_lang")), "left").join(F.broadcast(by_all), F.lit(True), "left")  # one row
+    rows = rows.join(by_lang, rows["lang"].eqNullSafe(F.col("l_lang")), "left").crossJoin(F.broadcast(by_all))  # one row
     pick = lambda c: F.when(F.col("n_docs") >= LEAST, F.col(c)).when(F.col("l_n_docs") >= LEAST, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}"))
     return rows.select("lang", "source", *[pick(c).cast("long").alias(c) for c in limits])
 
 
-def judged(scored: DataFrame, limits: DataFrame) -> DataFrame:
+def judged(scored: DataFrame, limits: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``scored`` with base_failed and kept. A group all of whose documents fail the base rules has no fences and none kept."""
     own = limits.select(F.col("lang").alias("__l"), F.col("source").alias("__s"), *_limits())
     out = scored.join(own, F.col("lang").eqNullSafe(F.col("__l")) & F.col("source").eqNullSafe(F.col("__s")), "left")
     fine = F.lit(True)
-    for name, x in RATIOS.items():
-        fine = fine & (_ratio(name) <= F.col(f"{name}_high"))
-        if x[4]:
-            fine = fine & (_ratio(name) >= F.col(f"{name}_low"))
-    return out.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & F.coalesce(fine, F.lit(True))).drop("__l", "__s", *_limits())
+    for name, (of, per, times, _, down, _, units) in RATIOS.items():
+        fine = fine & (F.col(of) * times <= F.col(f"{name}_high") * F.col(per) + units * times)
+        if down is not None:
+            fine = fine & (F.col(of) * times >= F.col(f"{name}_low") * F.col(per) - units * times)
+    failed = base_failed(min_words)
+    return out.withColumn("base_failed", failed).withColumn("kept", ~failed & F.coalesce(fine, F.lit(True))).drop("__l", "__s", *_limits())
 
 
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -172,12 +178,12 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return judged(scored, thresholds(scored)).select("doc_id", *MEASURES, "base_failed", "kept")
 
 
-def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """The rows of ``docs`` that ``quality_report`` keeps, with all their columns.
+def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_words: int = MIN_WORDS) -> DataFrame:
+    """The rows of ``docs`` that ``quality_report`` keeps, with all their columns; min_words: of the base rules.
 
-    Texts are measured twice, once for the sketches and once for the filter, rather than shuffled or written."""
+    Nulls, empty texts and repeated rows as there; an empty table gives no rows. Texts are measured twice, once for the sketches and once for the filter, rather than shuffled or written."""
     groups = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
     first = groups.select(F.struct("lang", "source").alias("row"), "text").mapInArrow(_measured, T.StructType([T.StructField("row", groups.drop("text").schema), *(T.StructField(k, T.LongType()) for k in MEASURES)]))
-    limits = written(thresholds(first.select("row.*", *MEASURES)), "fences")
+    limits = written(thresholds(first.select("row.*", *MEASURES), min_words), "fences")
     scored = measured(docs, text_col).withColumn("lang", F.col(f"row.`{lang_col}`").cast("string")).withColumn("source", F.col(f"row.`{source_col}`").cast("string"))
-    return judged(scored, limits).where("kept").select("row.*")
+    return judged(scored, limits, min_words).where("kept").select("row.*")

@@ -93,11 +93,11 @@ SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 2
 def _quality_sql() -> str:
     """Measures by windows over words and lines, sketches by bucket, fences by quartile, then the verdict."""
     ratios = quality.RATIOS
-    values = ", ".join(f"('{k}', CASE WHEN {per} > 0 THEN {of} * {times} // {per} ELSE 0 END)" for k, (of, per, times, _, _) in ratios.items())
-    high = {k: f"q3 + {quality.REACH} * (q3 - q1) + {x[3]}" for k, x in ratios.items()}
-    low = {k: f"q1 - {quality.REACH} * (q3 - q1) - {x[3]}" for k, x in ratios.items() if x[4]}
-    limits = "CASE ratio " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in high.items()) + " END AS hi, CASE ratio " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in low.items()) + " ELSE -1 END AS lo"
-    quartiles = "min(CASE WHEN below * 100 >= total * 25 THEN bucket END) AS q1, min(CASE WHEN below * 100 >= total * 75 THEN bucket END) AS q3, max(total) AS n_docs"
+    values = ", ".join(f"('{k}', CASE WHEN {x[1]} > 0 THEN {x[0]} * {x[2]} // {x[1]} ELSE 0 END, {x[0]} * {x[2]}, {x[1]}, {x[6] * x[2]})" for k, x in ratios.items())
+    high = {k: f"q{x[3]} + {x[5]} * (q{x[3]} - q50) + {quality.CLOSEST}" for k, x in ratios.items()}
+    low = {k: f"q{x[4]} - {x[5]} * (q50 - q{x[4]}) - {quality.CLOSEST}" for k, x in ratios.items() if x[4] is not None}
+    limits = "CASE ratio " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in high.items()) + " END AS hi, CASE ratio " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in low.items()) + " END AS lo"
+    quartiles = ", ".join(f"min(CASE WHEN below * 100 >= total * {p} THEN bucket END) AS q{p}" for p in (25, 50, 75, 90, 98)) + ", max(total) AS n_docs"
 
     def fences(keys: str) -> str:
         by = f"PARTITION BY {keys}, ratio" if keys else "PARTITION BY ratio"
@@ -114,11 +114,11 @@ rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM r CROSS JOIN (VALUES (0),
 ln AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
 m AS (SELECT d.doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines FROM d LEFT JOIN rep ON rep.doc_id = d.doc_id LEFT JOIN ln ON ln.doc_id = d.doc_id),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
-v AS (SELECT b.doc_id, b.lang, b.source, b.base_failed, x.ratio, CAST(x.v AS BIGINT) AS v FROM b CROSS JOIN LATERAL (VALUES {values}) x(ratio, v)),
-sk AS (SELECT lang, source, ratio, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS bucket, count(*) AS n FROM v WHERE NOT base_failed GROUP BY ALL),
+v AS (SELECT b.doc_id, b.lang, b.source, b.base_failed, x.ratio, CAST(x.v AS BIGINT) AS v, x.a, x.per, x.units FROM b CROSS JOIN LATERAL (VALUES {values}) x(ratio, v, a, per, units)),
+sk AS (SELECT lang, source, ratio, (v >> greatest(length(bin(v)) - {quality.BITS}, 0)) << greatest(length(bin(v)) - {quality.BITS}, 0) AS bucket, count(*) AS n FROM v WHERE NOT base_failed GROUP BY ALL),
 f AS (SELECT g.lang, g.source, g.ratio, CASE WHEN g.n_docs >= {quality.LEAST} THEN g.hi WHEN l.n_docs >= {quality.LEAST} THEN l.hi ELSE a.hi END AS hi, CASE WHEN g.n_docs >= {quality.LEAST} THEN g.lo WHEN l.n_docs >= {quality.LEAST} THEN l.lo ELSE a.lo END AS lo
  FROM {fences("lang, source")} g JOIN {fences("lang")} l ON l.ratio = g.ratio AND l.lang IS NOT DISTINCT FROM g.lang JOIN {fences("")} a ON a.ratio = g.ratio),
-ok AS (SELECT v.doc_id, bool_and(coalesce(v.v <= f.hi AND (v.v >= f.lo OR v.ratio <> 'word_length'), true)) AS fine FROM v LEFT JOIN f ON f.ratio = v.ratio AND f.lang IS NOT DISTINCT FROM v.lang AND f.source IS NOT DISTINCT FROM v.source GROUP BY v.doc_id)
+ok AS (SELECT v.doc_id, bool_and(coalesce(v.a <= f.hi * v.per + v.units AND (f.lo IS NULL OR v.a >= f.lo * v.per - v.units), true)) AS fine FROM v LEFT JOIN f ON f.ratio = v.ratio AND f.lang IS NOT DISTINCT FROM v.lang AND f.source IS NOT DISTINCT FROM v.source GROUP BY v.doc_id)
 SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed, NOT base_failed AND fine AS kept FROM b JOIN ok ON ok.doc_id = b.doc_id
 """
 
