@@ -149,3 +149,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def without_case(columns: list[str], names: tuple[str, ...]) -> list[str]:
     """``columns`` less those that are one of ``names``, in any case."""
     return [c for c in columns if c.lower() not in names]
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes that Spark expects ``df`` to read: the size of its files, for a plain table; 0 where nothing is known of it."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 2**60 else 0

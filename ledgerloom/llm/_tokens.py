@@ -44,9 +44,22 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
+        self._check(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
+    def _check(self, path: str) -> None:
+        """Units are cut by rules that hold for this kind of file only: any other is an error."""
+        probe = "The cat's 3rd, (big) naïve--café! x.y,z 12.5%;\u00c0\u3000b"
+        cut = [t + " " for t in probe.split()] + ["Ab.,", "é!?", "9;:", "Ab.,"]
+        whole = self.tokenizer.encode("".join(cut).replace(" ", " \n"), add_special_tokens=False).ids
+        parts = [i for t in cut[:-4] for i in self.tokenizer.encode(t.strip().lower(), add_special_tokens=False).ids]
+        parts += self.tokenizer.encode("".join(cut[-4:]), add_special_tokens=False).ids
+        if whole != parts or any(self.tokenizer.encode(a + b, add_special_tokens=False).ids != self.tokenizer.encode(a, add_special_tokens=False).ids + self.tokenizer.encode(b, add_special_tokens=False).ids for a, b in (("ab", ".,"), ("é", "!?"), ("9", ";:"))):
+            raise ValueError(f"{path}: its ids depend on letter case, white space or what stands before punctuation")
+        if [t.id for t in self.tokenizer.model.tokenize("cat")] != self.tokenizer.encode("cat", add_special_tokens=False).ids:
+            raise ValueError(f"{path}: its model alone doesn't give a plain word's ids")
+
     def encode(self, unit: str) -> list[int]:
         if _PLAIN(unit):  # one pre-token of plain letters: no normaliser or splitting to run
             return [t.id for t in self.tokenizer.model.tokenize(unit)]

@@ -93,7 +93,8 @@ def plan_mix(docs: DataFrame, weigh=cyclic_weights, most: float = 3.0, id_col: s
 
 def mix_documents(docs: DataFrame, weigh=cyclic_weights, most: float = 3.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", buckets: int = 512, seed: int = 8) -> DataFrame:
     """The rows of ``docs`` as the plan takes them, in training order: a document taken n times has n rows, and one taken
-    in part ends after that many words. Documents of which nothing is taken are left out.
+    in part ends after that many words. Documents of which nothing is taken are left out, and so are null texts and those
+    without words. Null sources and ids, ties and repeated rows as in ``plan_mix``; an empty table gives no rows.
 
     Rows travel with their texts twice: into the source's hash ranges, and into the order of positions."""
     size = word_count(F.col(f"`{text_col}`").cast("string"))
@@ -117,9 +118,19 @@ def position(copy: Column) -> Column:
     return F.when(F.col("taken") > 0, t + F.lit(0.0))
 
 
+def copies_taken() -> Column:
+    """Copies of a document that the mix takes, a part of one counted; 0 where nothing is taken."""
+    return F.ceil(F.col("taken") / F.greatest(F.col("size"), F.lit(1))).cast("int")
+
+
+def positions() -> Column:
+    """Training positions of all copies of a document that the mix takes, in order; an empty array where it takes none."""
+    n = copies_taken()
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), position)).otherwise(F.array().cast("array<double>"))
+
+
 def _copies(plan: DataFrame) -> DataFrame:
-    n = F.ceil(F.col("taken") / F.greatest(F.col("size"), F.lit(1))).cast("int")
-    copies = plan.where(F.col("taken") > 0).withColumn("copy", F.explode(F.sequence(F.lit(0), n - 1)))
+    copies = plan.where(F.col("taken") > 0).withColumn("copy", F.explode(F.sequence(F.lit(0), copies_taken() - 1)))
     words = F.least(F.col("size"), F.col("taken") - F.col("copy") * F.col("size")).cast("long")
     return copies.withColumn("words", words).withColumn("position", position(F.col("copy")))
 

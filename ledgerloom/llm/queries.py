@@ -56,9 +56,9 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mixing.plan_mix(_table(spark, sf_dir, "documents"))
-    plan = plan.withColumn("position", mixing.position(F.lit(0))).orderBy(F.col("position").asc_nulls_last(), "doc_id")
-    return plan.select("doc_id", "source", "size", "source_size", "target", "taken", "position")
+    plan = mixing.plan_mix(_table(spark, sf_dir, "documents")).withColumn("positions", mixing.positions())
+    plan = plan.orderBy(F.try_element_at("positions", F.lit(1)).asc_nulls_last(), "doc_id")
+    return plan.select("doc_id", "source", "size", "source_size", "target", "taken", "positions")
 
 
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import hashlib
 import os
 import random
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
@@ -42,6 +43,26 @@ def test_token_counts(docs, rows, none, library):
     assert token_counts.token_counts(none, PATH).count() == 0
 
 
+def test_token_counts_with_a_small_memory(docs, rows, library, monkeypatch):
+    monkeypatch.setattr(token_counts, "KNOWN", 10)
+    got = sorted((str(r.doc_id), r.n_tokens) for r in token_counts.token_counts(docs, PATH, n_buckets=3, block_bytes=3000).collect())
+    assert got == sorted((str(r.doc_id), len(library.encode(r.text or "", add_special_tokens=False).ids)) for r in rows)
+
+
+def test_a_block_that_is_not_whole_is_an_error():
+    meta = struct.pack("<q", 2) + bytes(17)
+    table = pa.table({"block": [1, 1], "is_meta": [True, False], "payload": [meta, b""]})
+    with pytest.raises(ValueError, match="isn't whole"):
+        token_counts._sum_block(table)
+
+
+def test_other_tokenizers_are_refused():
+    from ledgerloom.llm import _tokens
+
+    with pytest.raises(ValueError, match="its ids depend"):
+        _tokens.UnitEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(list(" \n.,;:!?'aZéÀß<|>")))))
 def test_units_give_the_librarys_ids(text):
@@ -276,6 +297,8 @@ def test_mixed_documents(docs):
     plan = mixing.plan_mix(docs)
     copies = mixing.mixed_order(plan).collect()
     assert [c.position for c in copies] == sorted(c.position for c in copies) and all(-1e-9 <= c.position < 1 for c in copies)
+    each = [r.positions for r in plan.withColumn("positions", mixing.positions()).collect()]
+    assert all(p == sorted(p) for p in each) and Counter(x for p in each for x in p) == Counter(c.position for c in copies)
     out = mixing.mix_documents(docs)
     assert out.columns == docs.columns
     got = Counter((str(r.doc_id), len(WORD.findall(r.text or ""))) for r in out.collect())
