@@ -98,6 +98,30 @@ def test_pack(docs, rows, none, library):
     assert packing.pack(none, PATH).count() == 0
 
 
+def test_pack_along_an_order(spark, tmp_path, monkeypatch):
+    """Sequences follow the order of the written table up to the ranges that share a bin; every piece is there once."""
+    monkeypatch.setattr(packing, "PER_WORKER", 40)
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["alpha", "beta", "gamma"]) for _ in range(rng.choice([30, 300, 700, 1500, 5000])))) for i in range(600)]
+    spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(5).orderBy("doc_id").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    got = packing.pack(table, PATH, order=packing.file_order(20)).collect()
+    plain = packing.pack(table, PATH).collect()
+    key = lambda p: (p.doc_id, p.start, p.length, p.ids_crc32)
+    assert sorted(map(key, got)) == sorted(map(key, plain))
+    for found in (got, plain):
+        by = defaultdict(list)
+        for p in found:
+            by[p.sequence_id].append(p)
+        for ps in by.values():
+            ps.sort(key=lambda p: p.offset)
+            assert [p.offset for p in ps] == [sum(q.length for q in ps[:i]) for i in range(len(ps))] and sum(p.length for p in ps) <= 2048
+    whole = [(p.sequence_id, p.doc_id) for p in sorted(got, key=lambda p: (p.sequence_id, p.offset)) if p.length == 2048]
+    assert all(b - a > -21 for (_, a), (_, b) in zip(whole, whole[1:], strict=False))
+    early = [p.doc_id for p in got if p.sequence_id < sorted(q.sequence_id for q in got)[len(got) // 4]]
+    assert sum(i < 300 for i in early) > 0.9 * len(early)
+
+
 @given(st.integers(0, 10_000))
 def test_cuts(n):
     out = packing.cuts(n, 2048)
@@ -378,13 +402,17 @@ def test_pipeline(spark, docs, tmp_path):
         if k < 4:
             assert now.columns == names
     kept, lines, near, mixed, packed = (f.collect() for f in frames)
-    assert all(not (m := measures(r.text))[0] < 50 and 100 * m[4] <= 50 * m[0] for r in kept)
+    assert all((m := measures(r.text))[0] >= 1 and 100 * m[4] <= 50 * m[0] for r in kept)
     assert sorted((str(r.doc_id), r.text) for r in lines) == sorted((i, t) for i, _, _, t in brute_lines(kept))
     classes = brute_classes(lines)
     assert sorted(r.doc_id for r in near if r.doc_id is not None) == sorted(set(classes.values()))
     assert sum(len(WORD.findall(r.text)) for r in mixed) == pytest.approx(sum(len(WORD.findall(r.text)) for r in near), abs=10)
     assert {str(p.doc_id) for p in packed} == {str(r.doc_id) for r in mixed}
+    from ledgerloom.llm import _shared
+
+    before = list(_shared._written)
     run = corpus_pipeline.run(spark, str(tmp_path))
+    assert not any("stage0" in x or "line-run" in x for x in _shared._written if x not in before)
     assert run.columns == frames[-1].columns and run.count() == len(packed)
 
 
