@@ -389,6 +389,36 @@ def test_huge_components(spark):
     assert got == {(0, 1): 4096 * (2_000_000**2 - 3_000_000), (0, 2): 4096 * (-2_000_000 - 15_000_000_000_000)}
 
 
+def test_sums_beyond_doubles(spark):
+    big = 2.0**33
+    df = spark.createDataFrame([(0, [big, 1 / 64]), (1, [big / 2, 3.0]), (2, [big / 2, 2.0]), (3, [-big, 1.0])], "vec_id LONG, embedding ARRAY<DOUBLE>")
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        topk.top_k(df, F.col("vec_id") == 0).collect()
+    small = df.withColumn("embedding", F.transform("embedding", lambda x: x / 256))
+    got = [(r.vec_id, r.score) for r in topk.top_k(small, F.col("vec_id") == 0, 2).orderBy("rank").collect()]
+    assert got == [(1, 2**31 * 2**30), (2, 2**31 * 2**30)]
+    with pytest.raises(Exception, match="beyond 2\\^62"):
+        topk.top_k(df.withColumn("embedding", F.transform("embedding", lambda x: x * 1e30)), F.col("vec_id") == 0).collect()
+
+
+def test_bounds_keep_vectors_back(spark):
+    """Vectors in clusters by id: most pairs of a query and a shard are never scored, and no result is lost."""
+    rng = np.random.default_rng(3)
+    centers = 40 * np.eye(20)
+    rows = [(i, (centers[i // 50] + rng.random(20)).tolist()) for i in range(1000)]
+    df = spark.createDataFrame(rows, "vec_id LONG, embedding ARRAY<DOUBLE>")
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, 5, shard_rows=25, group_rows=1, block=8)
+    m = np.floor(64 * np.array([v for _, v in rows])).astype(int)
+    want = {(q, r, j, s) for q in range(0, 1000, 20) for r, (s, j) in enumerate(sorted(((-int(x), i) for i, x in enumerate(m @ m[q]) if i != q))[:5], 1)}
+    assert {(r.query_id, r["rank"], r.vec_id, -r.score) for r in got.collect()} == want
+    shards = [m[a : a + 25] for a in range(0, 1000, 25)]
+    bounds = pa.table({"shard": list(range(40)), "high": [x.max(axis=0).tobytes() for x in shards], "low": [x.min(axis=0).tobytes() for x in shards]})
+    kth = sorted((m @ m[60]).tolist())[-6]
+    group = pa.table({"grp": [0], "m": [m[60].tobytes()], "kth": [[{"i": 0, "kth": kth}]]})
+    assert topk._bounded(20, True)(group, bounds)["shard"].to_pylist() in ([2], [3])
+    assert topk._bounded(20, False)(group, bounds)["shard"].to_pylist() == [2, 3]
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
 
