@@ -23,4 +23,4 @@ def query(sql: str | None = None):
 
 
 def load() -> None:
-    from . import facts, rendering, state, text, transcripts  # noqa: F401
+    from . import facts, rendering, reporting, state, text, transcripts, typed  # noqa: F401

@@ -150,9 +150,9 @@ def series_precedence(spark: SparkSession, sf: str) -> DataFrame:
     return facts.series_precedence(first.unionByName(second))
 
 
-_REPORT = _LAST5 + """, x AS (SELECT entity, year, max(CASE WHEN metric = 'Revenue' THEN val END) AS r, max(CASE WHEN metric = 'OperatingIncome' THEN val END) AS oi, max(CASE WHEN metric = 'NetIncome' THEN val END) AS ni, max(CASE WHEN metric = 'OperatingCashFlow' THEN val END) AS ocf, max(CASE WHEN metric = 'CapEx' THEN val END) AS cx FROM last5 GROUP BY entity, year),
+_REPORT = _LAST5 + """, x AS (SELECT entity, year, max(CASE WHEN metric = 'Revenue' THEN val END) AS r, max(CASE WHEN metric = 'OperatingIncome' THEN val END) AS oi, max(CASE WHEN metric = 'NetIncome' THEN val END) AS ni, max(CASE WHEN metric = 'OperatingCashFlow' THEN val END) AS ocf, max(CASE WHEN metric = 'CapEx' THEN val END) AS cx, max(CASE WHEN metric = 'LongTermDebt' THEN val END) AS ltd, max(CASE WHEN metric = 'SharesOutstanding' THEN val END) AS sh FROM last5 GROUP BY entity, year),
  y AS (SELECT c.*, nullif(p.r, 0) AS pr, nullif(p.ni, 0) AS pni FROM x c LEFT JOIN x p ON p.entity = c.entity AND p.year = c.year - 1),
- z AS (SELECT entity, year, unnest(['Revenue', 'OperatingIncome', 'NetIncome', 'OperatingCashFlow', 'CapEx', 'rev_yoy', 'ni_yoy', 'op_margin', 'net_margin', 'fcf_to_revenue', 'capex_to_revenue']) AS metric, unnest([r, oi, ni, ocf, cx, round((nullif(r, 0) - pr) / pr * 100, 1), round((nullif(ni, 0) - pni) / pni * 100, 1), round(nullif(oi, 0) / nullif(r, 0) * 100, 1), round(nullif(ni, 0) / nullif(r, 0) * 100, 1), round((nullif(ocf, 0) - coalesce(cx, 0)) / nullif(r, 0) * 100, 1), round(nullif(cx, 0) / nullif(r, 0) * 100, 1)]) AS val FROM y)"""
+ z AS (SELECT entity, year, unnest(['Revenue', 'OperatingIncome', 'NetIncome', 'OperatingCashFlow', 'CapEx', 'LongTermDebt', 'SharesOutstanding', 'rev_yoy', 'ni_yoy', 'op_margin', 'net_margin', 'fcf_to_revenue', 'capex_to_revenue']) AS metric, unnest([r, oi, ni, ocf, cx, ltd, sh, round((nullif(r, 0) - pr) / pr * 100, 1), round((nullif(ni, 0) - pni) / pni * 100, 1), round(nullif(oi, 0) / nullif(r, 0) * 100, 1), round(nullif(ni, 0) / nullif(r, 0) * 100, 1), round((nullif(ocf, 0) - coalesce(cx, 0)) / nullif(r, 0) * 100, 1), round(nullif(cx, 0) / nullif(r, 0) * 100, 1)]) AS val FROM y)"""
 _YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
 
 
@@ -166,7 +166,14 @@ def financial_table(spark: SparkSession, sf: str) -> DataFrame:
     return facts.metric_table(facts.report_metrics(facts.annual_metrics(view(spark, sf, "annual_v"))), _YEARS)
 
 
-@query()
+_FORM = {"money": "CASE WHEN {v} IS NULL THEN '—' WHEN abs({v}) >= 1e9 THEN '$' || format('{{:,.1f}}', {v} / 1e9) || 'B' WHEN abs({v}) >= 1e6 THEN '$' || format('{{:,.0f}}', {v} / 1e6) || 'M' ELSE format('{{:,.0f}}', {v}) END", "shares": "CASE WHEN {v} IS NULL THEN '—' WHEN abs({v}) >= 1e6 THEN format('{{:,.1f}}', {v} / 1e6) || 'M' ELSE format('{{:,.0f}}', {v}) END", "signed": "CASE WHEN {v} IS NULL THEN '—' ELSE format('{{:+.1f}}%', {v}) END", "percent": "CASE WHEN {v} IS NULL THEN '—' ELSE format('{{:.1f}}%', {v}) END"}
+_LINE = " UNION ALL ".join(f"SELECT entity, 0 AS section_no, CAST({i} AS BIGINT) AS line_no, '| {label} | ' || " + " || ' | ' || ".join(_FORM[form].format(v=f"y{y}") for y in _YEARS) + f" || ' |' AS text FROM w WHERE metric = '{m}'" for i, (m, label, form) in enumerate(dims.REPORT_ROWS, 1))
+_HEAD = f"SELECT DISTINCT entity, 0, 0, '| 指標 | {' | '.join(map(str, _YEARS))} |' || chr(10) || '|------|{'|'.join('------:' for _ in _YEARS)}|' FROM w"
+_WIDE_YEARS = ", ".join(f"max(CASE WHEN year = {y} THEN val END) AS y{y}" for y in _YEARS)
+_QLINE = "SELECT entity, 1, row_number() OVER (PARTITION BY entity ORDER BY quarter), '| ' || quarter || ' | ' || " + _FORM["money"].format(v="revenue") + " || ' | ' || " + _FORM["signed"].format(v="rev_growth_yoy") + " || ' | ' || " + _FORM["percent"].format(v="op_margin") + " || ' | ' || " + _FORM["percent"].format(v="net_margin") + " || ' |' FROM m WHERE entity IN (SELECT entity FROM m GROUP BY entity HAVING count(*) >= 2)"
+
+
+@query(duck("annual_v", "facts_v", then=f"SELECT * FROM ({_REPORT}, w AS (SELECT entity, metric, {_WIDE_YEARS} FROM z GROUP BY entity, metric) {_LINE} UNION ALL {_HEAD}) UNION ALL SELECT * FROM ({_QUARTERLY} {_QLINE})"))
 def report_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Both tables of a report as ordered Markdown lines."""
     table_ = facts.metric_table(facts.report_metrics(facts.annual_metrics(view(spark, sf, "annual_v"))), _YEARS)

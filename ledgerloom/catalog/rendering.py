@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import renderers
+from ..operators import layouts, renderers
+from ..plans import report_layouts
 from . import query
 from .views import table
 
@@ -40,15 +41,12 @@ def market_concerns(spark: SparkSession, sf: str) -> DataFrame:
     return renderers.concerns(results(spark, sf))
 
 
-@query("SELECT doc_id AS entity, 0 AS section_no, CAST(1 AS BIGINT) AS line_no, '| ' || source || '\\|a | 1 | — | — |  |' AS text FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 0, 0, '（本季無硬性指引）' FROM documents WHERE doc_id % 2 = 1 UNION ALL SELECT doc_id, 3, 1, '- ' || lang FROM documents")
-def forward_guidance(spark: SparkSession, sf: str) -> DataFrame:
-    """Guidance without the headings of its sections."""
-    return renderers.rendered(results(spark, sf), renderers.GUIDANCE).where("not text like '##%'")
+_HARD = "### 硬性指引（Hard Guidance）' || chr(10) || '| 指標 | 數值 | 期間 | 方向 | 原文 |' || chr(10) || '|------|------|------|------|------|"
 
 
-@query()
-def highlights_and_supply(spark: SparkSession, sf: str) -> DataFrame:
-    return renderers.rendered(results(spark, sf), renderers.HIGHLIGHTS + renderers.SUPPLY)
+@query(f"""SELECT doc_id AS entity, 0 AS section_no, CAST(0 AS BIGINT) AS line_no, '{_HARD}' AS text FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 0, 1, '| ' || source || '\\|a | 1 | — | — |  |' FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 0, 1, '（本季無硬性指引）' FROM documents WHERE doc_id % 2 = 1 UNION ALL SELECT doc_id, 3, 0, '### 隱含訊號' FROM documents UNION ALL SELECT doc_id, 3, 1, '- ' || lang FROM documents""")
+def forward_guidance(spark: SparkSession, sf: str) -> DataFrame:
+    return layouts.rendered(results(spark, sf), report_layouts.GUIDANCE)
 
 
 @query("SELECT 'supply_chain' || '' AS task_id, k AS key, count(*) FILTER (k = 'supply_chain_risks') AS n_present, count(*) AS n FROM documents CROSS JOIN (SELECT unnest(['supply_chain_risks', 'overall_risk_level', 'trend', 'insufficient_data']) AS k) GROUP BY ALL")

@@ -79,7 +79,7 @@ def usage_cost(spark: SparkSession, sf: str) -> DataFrame:
     return state.usage_cost(view(spark, sf, "usage_v").withColumn("day", F.to_date("ts").cast("string")), "label", "day")
 
 
-@query()
+@query(duck("usage_v", then="SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS window_start, label, count(*) AS n_calls, sum(n_in * 3e-6 + n_out * 15e-6) AS cost FROM usage_v GROUP BY ALL"))
 def usage_windowed(spark: SparkSession, sf: str) -> DataFrame:
     """The streaming cost query over a table: the same plan without a watermark."""
     return stream.windowed_cost(view(spark, sf, "usage_v"))
@@ -207,7 +207,7 @@ _REPLIES = {
 }
 
 
-@query()
+@query("""SELECT doc_id, n[doc_id % 5 + 1] AS task_id, r[doc_id % 5 + 1] AS result, doc_id % 5 = 2 AND length(text) > 100 AS low_confidence FROM documents, (SELECT ['financial', 'risk', 'three_statement_cross', 'supply_chain', 'fn_tax'] AS n, ['{"metrics": {"a": 1}, "quality_flags": [], "trend_summary": "up", "insufficient_data": false}', '{"risks": [1], "top_3": [1], "insufficient_data": false}', '{"checks": [1]}', '{"error": "JSON parse failed", "raw": "no JSON at all", "skill": null}', '{"insufficient_data": false}'] AS r)""")
 def eval_loop(spark: SparkSession, sf: str) -> DataFrame:
     """A task for each document through the dry-run provider, judged, failed ones once more; what fails twice is of low confidence."""
     d = table(spark, sf, "documents").select("doc_id", "text")

@@ -101,11 +101,11 @@ def header_ladder(spark: SparkSession, sf: str) -> DataFrame:
     return sections.header_ladder(view(spark, sf, "toc_v"))
 
 
-_NOTES = "WITH n AS (SELECT doc_id, substr(text, strpos(text, 'Notes to Consolidated')) AS text FROM notes_v), l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM n), s AS (SELECT doc_id, regexp_extract(trim(line), '^([A-V])\\.\\s+\\S', 1) AS letter, max(i) AS i FROM l WHERE regexp_matches(trim(line), '^[A-V]\\.\\s+\\S') GROUP BY ALL), e AS (SELECT *, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM s), x AS (SELECT e.doc_id, letter, i, trim(array_to_string(list_slice(string_split(text, chr(10)), i + 1, coalesce(e, len(string_split(text, chr(10))))), chr(10)), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS text FROM e JOIN n USING (doc_id))"
+_NOTES = "WITH n AS (SELECT doc_id, CASE WHEN strpos(text, 'Notes to Consolidated') > 0 THEN substr(text, strpos(text, 'Notes to Consolidated')) ELSE text END AS text FROM notes_v), l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM n), s AS (SELECT doc_id, regexp_extract(trim(line), '^([A-V])\\.\\s+\\S', 1) AS letter, max(i) AS i FROM l WHERE regexp_matches(trim(line), '^[A-V]\\.\\s+\\S') GROUP BY ALL), e AS (SELECT *, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM s), x AS (SELECT e.doc_id, letter, i, trim(array_to_string(list_slice(string_split(text, chr(10)), i + 1, coalesce(e, len(string_split(text, chr(10))))), chr(10)), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS text FROM e JOIN n USING (doc_id))"
 _GROUPS = ", ".join(f"('{x}', '{g}', {i})" for g, ls in dims.NOTE_GROUPS.items() for i, x in enumerate(ls))
 
 
-@query(duck("notes_v", then="SELECT doc_id, md5(substr(text, strpos(text, 'Notes to Consolidated'))) AS notes_md5, md5(substr(text, 1, strpos(text, 'Notes to Consolidated') - 1)) AS statements_md5 FROM notes_v"))
+@query(duck("notes_v", then="SELECT doc_id, md5(CASE WHEN strpos(text, 'Notes to Consolidated') > 0 THEN substr(text, strpos(text, 'Notes to Consolidated')) ELSE text END) AS notes_md5, md5(CASE WHEN strpos(text, 'Notes to Consolidated') > 0 THEN substr(text, 1, strpos(text, 'Notes to Consolidated') - 1) ELSE substr(text, 1, 5000) END) AS statements_md5 FROM notes_v"))
 def footnote_split(spark: SparkSession, sf: str) -> DataFrame:
     t = F.col("text")
     return view(spark, sf, "notes_v").select("doc_id", F.md5(sections.notes_text(t)).alias("notes_md5"), F.md5(sections.statements_text(t)).alias("statements_md5"))
@@ -185,14 +185,8 @@ def truncate_notice(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.md5(text.truncated(F.col("text"), 2000)).alias("text_md5"))
 
 
-@query("SELECT doc_id, replace(replace(coalesce(substr(text, 1, 80), ''), '|', '\\|'), chr(10), ' ') AS cell FROM documents")
-def escape_cell(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", text.table_cell(F.substring("text", 1, 80)).alias("cell"))
-
-
 @query("SELECT doc_id, md5(replace(replace(replace(coalesce(text, ''), '|', '\\|'), chr(10), ' '), chr(13), ' ')) AS cell_md5 FROM documents")
-def escape_cell_whole(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole texts as cells, where escape_cell's SQL takes their first 80 characters."""
+def escape_cell(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.md5(text.table_cell(F.col("text"))).alias("cell_md5"))
 
 
@@ -218,21 +212,12 @@ def _fold(x: str) -> str:
     return x
 
 
-_TERMS = "concat(CASE doc_id % 4 WHEN 0 THEN 'OperatingIncomeLoss ' WHEN 1 THEN 'NetIncome and CapEx ' WHEN 2 THEN '大幅惡化 ' ELSE 'LongTermDebt ' END, substr(text, 1, 60))"
+_TERMS = "concat(CASE doc_id % 4 WHEN 0 THEN 'OperatingIncomeLoss ' WHEN 1 THEN 'NetIncome and CapEx ' WHEN 2 THEN '大幅惡化 ' ELSE 'LongTermDebt ' END, text)"
 
 
-@query(f"SELECT doc_id, {_fold(_TERMS)} AS text FROM documents")
+@query(f"SELECT doc_id, md5({_fold(_TERMS)}) AS text_md5 FROM documents")
 def term_substitute(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", text.substituted(F.expr(_TERMS), dims.TERM_SUBSTITUTES).alias("text"))
-
-
-_WHOLE_TERMS = _TERMS.replace("substr(text, 1, 60)", "text")
-
-
-@query(f"SELECT doc_id, md5({_fold(_WHOLE_TERMS)}) AS text_md5 FROM documents")
-def term_substitute_whole(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole texts, where term_substitute's SQL takes their first 60 characters."""
-    return table(spark, sf, "documents").select("doc_id", F.md5(text.substituted(F.expr(_WHOLE_TERMS), dims.TERM_SUBSTITUTES)).alias("text_md5"))
+    return table(spark, sf, "documents").select("doc_id", F.md5(text.substituted(F.expr(_TERMS), dims.TERM_SUBSTITUTES)).alias("text_md5"))
 
 
 _VAL = "CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE round(o_totalprice * power(10, o_orderkey % 6)) * CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE -1 END END"
@@ -243,18 +228,17 @@ def fmt_val(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", numbers.money(F.expr(_VAL)).alias("shown"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN '—' ELSE format('{:+.1f}%', round(o_totalprice) / 8) END AS growth, CASE WHEN o_orderkey % 13 = 0 THEN '—' ELSE format('{:.1f}%', round(o_totalprice) / 8) END AS margin FROM orders WHERE o_orderkey % 4 <> 0 AND CAST(round(o_totalprice) AS BIGINT) % 8 NOT IN (2, 6)")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN '—' ELSE format('{:+.1f}%', round(round(o_totalprice) / 8, 1)) END AS growth, CASE WHEN o_orderkey % 13 = 0 THEN '—' ELSE format('{:.1f}%', round(round(o_totalprice) / 8, 1)) END AS margin FROM orders")
 def signed_percent(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders").where("o_orderkey % 4 <> 0 and bigint(round(o_totalprice)) % 8 not in (2, 6)")
+    """All orders, ties included: DuckDB's format alone would round them to even, so its SQL rounds first."""
     v = F.when(F.col("o_orderkey") % 13 != 0, F.round("o_totalprice") / 8)
-    return o.select("o_orderkey", numbers.percent(v, True).alias("growth"), numbers.percent(v).alias("margin"))
+    return table(spark, sf, "orders").select("o_orderkey", numbers.percent(v, True).alias("growth"), numbers.percent(v).alias("margin"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN '—' ELSE format('{:+.1f}%', round(round(o_totalprice) / 8, 1)) END AS growth, CASE WHEN o_orderkey % 13 = 0 THEN '—' ELSE format('{:.1f}%', round(round(o_totalprice) / 8, 1)) END AS margin FROM orders")
-def signed_percent_all(spark: SparkSession, sf: str) -> DataFrame:
-    """All orders, with the ties that signed_percent's SQL leaves out; DuckDB's format would round them to even."""
-    v = F.when(F.col("o_orderkey") % 13 != 0, F.round("o_totalprice") / 8)
-    return table(spark, sf, "orders").select("o_orderkey", numbers.percent(v, True).alias("growth"), numbers.percent(v).alias("margin"))
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN '—' WHEN o_totalprice * 100 >= 1e6 THEN format('{:,.1f}', round(round(o_totalprice * 100) / 1e6, 1)) || 'M' ELSE format('{:,.0f}', round(o_totalprice * 100)) END AS shown FROM orders")
+def shares(spark: SparkSession, sf: str) -> DataFrame:
+    v = F.when(F.col("o_orderkey") % 13 != 0, F.round(F.col("o_totalprice") * 100))
+    return table(spark, sf, "orders").select("o_orderkey", numbers.shares(v).alias("shown"))
 
 
 def _scan(phrases: list[str]) -> str:
@@ -271,13 +255,17 @@ def keyword_scan(spark: SparkSession, sf: str) -> DataFrame:
     return rules.phrase_hits(table(spark, sf, "documents"), _WORDS, ["doc_id"])
 
 
-@query(" UNION ALL ".join(f"SELECT '{k}' AS list, phrase, n FROM (" + _scan(v).replace("SELECT doc_id, phrase, CAST(n AS BIGINT) AS n FROM h WHERE n > 0", "SELECT phrase, CAST(sum(n) AS BIGINT) AS n FROM h WHERE n > 0 GROUP BY phrase") + ")" for k, v in rules.PHRASES.items()))
+_LISTED = ", ".join(f"({_q(k)}, {_q(p.lower())})" for k, ps in rules.PHRASES.items() for p in ps)
+#: Texts that hold a phrase of each list, by a document's number.
+_ALL = [p for ps in rules.PHRASES.values() for p in ps]
+_PHRASE = f"CASE doc_id % {len(_ALL)} " + " ".join(f"WHEN {i} THEN {_q(p)}" for i, p in enumerate(_ALL)) + " END"
+
+
+@query(f"WITH d AS (SELECT doc_id, lower(text || ' ' || {_PHRASE} || ' ' || {_PHRASE}) AS t FROM documents), p(list, phrase) AS (VALUES {_LISTED}), h AS (SELECT list, phrase, (length(t) - length(replace(t, phrase, ''))) // length(phrase) AS n FROM d CROSS JOIN p) SELECT list, phrase, CAST(sum(n) AS BIGINT) AS n FROM h WHERE n > 0 GROUP BY ALL")
 def phrase_lists(spark: SparkSession, sf: str) -> DataFrame:
-    d, out = table(spark, sf, "documents"), None
-    for k, v in rules.PHRASES.items():
-        rows = rules.phrase_hits(d, v, ["doc_id"]).groupBy(F.lower("phrase").alias("phrase")).agg(F.sum("n").alias("n")).select(F.lit(k).alias("list"), "phrase", "n")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """The fixed lists in one pass, over texts that hold their phrases."""
+    d = table(spark, sf, "documents").select("doc_id", F.concat_ws(" ", "text", F.expr(_PHRASE), F.expr(_PHRASE)).alias("text")).where("text is not null")
+    return rules.phrase_hits(d, rules.PHRASES, ["doc_id"]).groupBy("list", F.lower("phrase").alias("phrase")).agg(F.sum("n").alias("n"))
 
 
 @query("SELECT doc_id, concat_ws(chr(10) || chr(10), CASE WHEN lang IS NOT NULL THEN '## lang' || chr(10) || lang END, CASE WHEN source <> 'src3' THEN '## source' || chr(10) || source END) AS prompt FROM documents")

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-_METRIC = "CASE c_mktsegment WHEN 'BUILDING' THEN 'Revenue' WHEN 'MACHINERY' THEN 'NetIncome' WHEN 'FURNITURE' THEN 'OperatingIncome' WHEN 'HOUSEHOLD' THEN 'OperatingCashFlow' ELSE 'CapEx' END"
+_METRIC = "CASE c_mktsegment WHEN 'BUILDING' THEN 'Revenue' WHEN 'MACHINERY' THEN 'NetIncome' WHEN 'FURNITURE' THEN 'OperatingIncome' WHEN 'HOUSEHOLD' THEN 'OperatingCashFlow' ELSE CASE c_custkey % 4 WHEN 2 THEN 'LongTermDebt' WHEN 3 THEN 'SharesOutstanding' ELSE 'CapEx' END END"
 _FACT = """CAST({entity} AS BIGINT) AS entity, {metric} AS metric, CAST(substr(o_orderpriority, 1, 1) AS INT) - 1 AS concept_pos, o_orderkey AS entry_pos,
  {form} AS form, {fp} AS fp, CAST(o_orderdate AS DATE) AS end_date,
  CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) - CAST(CASE WHEN o_orderkey % 7 = 0 THEN 364 WHEN o_orderkey % 13 = 0 THEN 182 ELSE 90 END AS INT) END AS start_date,
@@ -33,7 +33,7 @@ VIEWS = {
     "units_v": "SELECT entity, concept, CASE WHEN entity % 2 = 1 AND concept = 'SalesRevenueNet' THEN 'shares' WHEN entry_pos % 4 = 0 THEN 'shares' ELSE 'USD' END AS unit, entry_pos, val FROM (SELECT CAST(n_regionkey AS BIGINT) AS entity, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Revenues' WHEN '2' THEN 'SalesRevenueNet' WHEN '3' THEN 'NetIncomeLoss' WHEN '4' THEN 'CommonStockSharesOutstanding' ELSE 'Unlisted' END AS concept, o_orderkey AS entry_pos, o_totalprice AS val " + _ORDERS + ")",
     "filings_v": "SELECT CAST(floor(doc_id / 10) AS BIGINT) AS doc_id, JOINED(concat(CASE WHEN floor(doc_id / 10) % 3 = 1 THEN upper(CASE WHEN doc_id % 10 = 0 THEN 'Item 1. Business' ELSE " + _HEAD + " END) ELSE concat('## ', " + _HEAD + ") END, chr(10), coalesce(text, '')), doc_id) AS text FROM {documents} GROUP BY floor(doc_id / 10)",
     "toc_v": "SELECT CAST(floor(doc_id / 10) AS BIGINT) AS doc_id, concat(JOINED(concat(CASE WHEN doc_id % 10 IN (2, 4) THEN '|  | ' ELSE '| Item 1 | ' END, CASE WHEN doc_id % 3 = 0 THEN " + _TOC_TITLE + " ELSE concat('[', " + _TOC_TITLE + ", '](#a_', CAST(doc_id AS STRING), ')') END, ' |'), doc_id), chr(10), repeat(concat('filler', chr(10)), 12), JOINED(concat('[anchor:a_', CAST(doc_id AS STRING), ']', chr(10), CASE WHEN doc_id % 2 = 0 THEN " + _HEAD + " ELSE " + _TOC_TITLE + " END, chr(10), coalesce(text, '')), doc_id)) AS text FROM {documents} GROUP BY floor(doc_id / 10)",
-    "notes_v": "SELECT CAST(floor(doc_id / 26) AS BIGINT) AS doc_id, concat('Balance', chr(10), 'Notes to Consolidated Financial Statements', chr(10), JOINED(concat(CASE WHEN doc_id % 26 < 22 THEN concat(chr(CAST(65 + doc_id % 26 AS INT)), '. ') ELSE '' END, coalesce(text, '')), doc_id)) AS text FROM {documents} GROUP BY floor(doc_id / 26)",
+    "notes_v": "SELECT CAST(floor(doc_id / 26) AS BIGINT) AS doc_id, concat('Balance', chr(10), CASE WHEN floor(doc_id / 26) % 5 = 4 THEN 'Nothing else is said here' ELSE 'Notes to Consolidated Financial Statements' END, chr(10), JOINED(concat(CASE WHEN doc_id % 26 < 22 THEN concat(chr(CAST(65 + doc_id % 26 AS INT)), '. ') ELSE '' END, coalesce(text, '')), doc_id)) AS text FROM {documents} GROUP BY floor(doc_id / 26)",
     "transcripts_v": "SELECT conv_id AS doc_id, JOINED(concat(CASE WHEN turn = 2 THEN concat('Questions and Answers Session', chr(10)) ELSE '' END, CASE WHEN role = 'system' THEN '' WHEN role = 'user' THEN CASE WHEN turn % 4 = 2 THEN 'Seymore: ' ELSE 'Ross Seymore: ' END ELSE CASE WHEN turn % 4 = 1 THEN 'Patrick: ' ELSE 'Random Stranger: ' END END, CASE WHEN turn % 7 = 6 THEN '' ELSE replace(coalesce(text, ''), ':', '') END), turn) AS text FROM {conversations} GROUP BY conv_id",
     "people_v": "SELECT DISTINCT conv_id AS doc_id, CAST(p AS INT) AS pos, CASE p WHEN 0 THEN 'Patrick Gelsinger' WHEN 1 THEN 'Ross Seymore' ELSE CASE WHEN conv_id % 3 = 0 THEN 'Ross Smith' ELSE 'David Zinsner' END END AS name, CASE p WHEN 0 THEN 'CEO' WHEN 1 THEN 'Analyst' ELSE NULL END AS role, CASE p WHEN 1 THEN 'Bank' ELSE 'Maker' END AS affiliation FROM {conversations} CROSS JOIN (SELECT 0 AS p UNION ALL SELECT 1 UNION ALL SELECT 2)",
     "usage_v": "SELECT event_id, ts, event_type AS label, CAST(json_text(props, '$.k') AS BIGINT) AS n_in, CAST(floor(value) AS BIGINT) AS n_out FROM {events}",

@@ -127,7 +127,7 @@ def series_precedence(series: DataFrame) -> DataFrame:
 def report_metrics(annual: DataFrame) -> DataFrame:
     """(entity, year, metric, val): raw metrics and derived ratios, a missing or zero operand giving null."""
     of = lambda m: F.max(F.when(F.col("metric") == m, F.col("val"))).alias(m)
-    raw = ["Revenue", "OperatingIncome", "NetIncome", "OperatingCashFlow", "CapEx"]
+    raw = ["Revenue", "OperatingIncome", "NetIncome", "OperatingCashFlow", "CapEx", "LongTermDebt", "SharesOutstanding"]
     wide = annual.groupBy("entity", "year").agg(*[of(m) for m in raw])
     some = lambda c: F.nullif(F.col(c), F.lit(0.0))
     w = Window.partitionBy("entity").orderBy("year").rangeBetween(-1, -1)

@@ -1,51 +1,16 @@
-"""Nested results to report lines, by a table of layouts instead of a function per section.
-
-A layout says where in a result a list stands and how one of its items reads. Lists are exploded with their places, so a
-report of any number of entities is one plan; a section without items has one line that says so, or none."""
+"""Blocks of a report whose lines need more than a template (see ``layouts``), and lists of results as rows."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import blockquote, substituted, table_cell
+from ..functions.text import blockquote, substituted
 from ..plans import dims
 
 
-@dataclass(frozen=True)
-class Layout:
-    """fields: (name, text if missing, softened) in order. kind: row (Markdown table), bullet, or word (items are texts)."""
-
-    section: str
-    path: str
-    kind: str
-    heading: str
-    fields: tuple[tuple[str, str, bool], ...] = ()
-    empty: str | None = None
-
-
-#: Headings and column names are fixed values of the report.
-GUIDANCE = [
-    Layout("hard", "$.forward_guidance.hard_guidance", "row", "### 硬性指引（Hard Guidance）\n| 指標 | 數值 | 期間 | 方向 | 原文 |\n|------|------|------|------|------|", (("metric", "", False), ("value", "—", False), ("period", "—", False), ("direction", "—", False), ("verbatim", "", False)), "（本季無硬性指引）"),
-    Layout("soft", "$.forward_guidance.soft_guidance", "bullet", "### 軟性指引（Soft Guidance）", (("area", "", True), ("direction", "", False), ("confidence", "", False), ("detail", "", True))),
-    Layout("changes", "$.forward_guidance.guidance_changes", "row", "### 指引變化\n| 指標 | 前次 | 本次 | 變化 |\n|------|------|------|------|", (("metric", "", False), ("previous", "—", False), ("current", "—", False), ("change", "—", True))),
-    Layout("implied", "$.forward_guidance.implied_signals", "word", "### 隱含訊號"),
-]
-HIGHLIGHTS = [
-    Layout("financial", "$.structured_summary.financial_highlights", "row", "#### 財務亮點\n| 指標 | 實際 | 預期 | 結果 | YoY | 驅動因子 |\n|------|------|------|------|------|----------|", (("metric", "", False), ("reported", "—", False), ("consensus", "—", False), ("beat_miss", "", False), ("yoy_change", "", False), ("driver", "", True))),
-    Layout("segments", "$.structured_summary.segment_performance", "row", "#### 業務部門表現\n| 部門 | 方向 | 描述 |\n|------|------|------|", (("segment", "", False), ("direction", "", False), ("detail", "", True))),
-    Layout("operations", "$.structured_summary.operational_highlights", "word", "#### 營運亮點"),
-    Layout("challenges", "$.structured_summary.operational_challenges", "word", "#### 挑戰"),
-]
-SUPPLY = [
-    Layout("materials", "$.raw_materials", "row", "### 原物料\n| 原物料 | 用途 | 集中風險 | 地緣風險 |\n|--------|------|----------|----------|", (("material", "", False), ("usage", "", False), ("source_concentration", "", False), ("geopolitical_risk", "", False))),
-    Layout("improvements", "$.yoy_changes.improvements", "word", "**正向變化**", (), "- —"),
-    Layout("deteriorations", "$.yoy_changes.deteriorations", "word", "**負向變化**", (), "- —"),
-]
-NO_CONCERNS, UNAVAILABLE = "（本季無市場關注議題記錄）", "（本季無逐字稿）"
+#: Fixed values of the report.
+NO_CONCERNS = "（本季無市場關注議題記錄）"
 _LEVEL = {"high": "高", "medium": "中", "low": "低"}
 _AGAINST = {"intensifying": "加劇", "stable": "持平", "easing": "緩解"}
 _CATEGORY = {"concentration": "集中", "geopolitical": "地緣", "price": "價格", "shortage": "短缺", "logistics": "物流", "regulatory": "法規"}
@@ -61,32 +26,6 @@ def items(results: DataFrame, path: str, kind: str = "array<map<string,string>>"
     return results.select("entity", F.posexplode(found).alias("pos", "item"))
 
 
-def _field(name: str, missing: str, softened: bool) -> Column:
-    x = F.coalesce(F.element_at("item", name), F.lit(missing))
-    return soft(x) if softened else x
-
-
-def rendered(results: DataFrame, layouts: list[Layout]) -> DataFrame:
-    """(entity, section_no, line_no, text) of the layouts' sections, headings as line 0."""
-    out = []
-    for k, lay in enumerate(layouts):
-        rows = items(results, lay.path, "array<string>" if lay.kind == "word" else "array<map<string,string>>")
-        if lay.kind == "word":
-            text = F.concat(F.lit("- "), soft(F.col("item")))
-        elif lay.kind == "row":
-            text = F.concat(F.lit("| "), F.concat_ws(" | ", *[table_cell(_field(*f)) for f in lay.fields]), F.lit(" |"))
-        else:
-            area, direction, confidence, detail = (_field(*f) for f in lay.fields)
-            meta = F.concat_ws(" / ", F.nullif(direction, F.lit("")), F.nullif(confidence, F.lit("")))
-            text = F.concat(F.lit("- **"), area, F.lit("**"), F.when(meta != "", F.concat(F.lit("（"), meta, F.lit("）"))).otherwise(""), F.lit("："), detail)
-        lines = rows.select("entity", F.lit(k).alias("section_no"), (F.col("pos") + 1).cast("long").alias("line_no"), text.alias("text"))
-        n = F.size(F.from_json(F.get_json_object("result", lay.path), "array<string>"))
-        heading = F.when(n > 0, lay.heading).otherwise(F.lit(lay.empty))
-        heads = results.select("entity", F.lit(k).alias("section_no"), F.lit(0).cast("long").alias("line_no"), heading.alias("text")).where("text is not null")
-        out.append(heads.unionByName(lines))
-    return reduce(DataFrame.unionByName, out)
-
-
 def concerns(results: DataFrame) -> DataFrame:
     """(entity, line_no, text): a block per topic with its frequency, the answer, the quote and signs of evasion."""
     get = lambda k: F.coalesce(F.element_at("item", k), F.lit(""))

@@ -18,11 +18,15 @@ PHRASES = {
 }
 
 
-def phrase_hits(docs: DataFrame, phrases: list[str], keys: list[str]) -> DataFrame:
-    """(keys.., phrase, n): how often each phrase is in the text, any case, where it is at all."""
+def phrase_hits(docs: DataFrame, phrases: list[str] | dict[str, list[str]], keys: list[str]) -> DataFrame:
+    """(keys.., phrase, n): how often each phrase is in the text, any case, where it is at all; of several lists (list, ..) too.
+
+    One pass, whatever the number of lists."""
     low = F.lower("text")
-    found = F.array(*[F.struct(F.lit(p).alias("phrase"), ((F.char_length(low) - F.char_length(F.replace(low, F.lit(p.lower()), F.lit("")))) / len(p)).cast("long").alias("n")) for p in phrases])
-    return docs.select(*keys, F.explode(F.filter(found, lambda x: x["n"] > 0)).alias("f")).select(*keys, "f.phrase", "f.n")
+    lists = phrases if isinstance(phrases, dict) else {"": phrases}
+    found = F.array(*[F.struct(F.lit(k).alias("list"), F.lit(p).alias("phrase"), ((F.char_length(low) - F.char_length(F.replace(low, F.lit(p.lower()), F.lit("")))) / len(p)).cast("long").alias("n")) for k, ps in lists.items() for p in ps])
+    out = docs.select(*keys, F.explode(F.filter(found, lambda x: x["n"] > 0)).alias("f"))
+    return out.select(*keys, *(["f.list"] if isinstance(phrases, dict) else []), "f.phrase", "f.n")
 
 
 def period_status(now: DataFrame, before: DataFrame, keys: list[str]) -> DataFrame:
@@ -91,3 +95,59 @@ def top_k(counts: DataFrame, by: list[str], k: int) -> DataFrame:
     """The k rows of highest ``n`` per group, ties by topic; groups of any size are cut before they are shuffled."""
     w = Window.partitionBy(*by).orderBy(F.col("n").desc(), "topic")
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def capex_effect(annual: DataFrame, flat: float = 1.0) -> DataFrame:
+    """(entity, year, signal) of years in which capital expenditure grew, by what follows: bullish if revenue and the margin
+    grow in the next year or the one behind it; bearish if revenue stays within ``flat`` percent and the margin falls; else neutral.
+
+    annual: (entity, year, capex, revenue, margin)."""
+    by = Window.partitionBy("entity").orderBy("year")
+    at = lambda c, k: F.max(c).over(by.rangeBetween(k, k))
+    grown = lambda k: (at("revenue", k) > F.col("revenue")) & (at("margin", k) > F.col("margin"))
+    change = (at("revenue", 1) - F.col("revenue")) / F.nullif(F.col("revenue"), F.lit(0.0)) * 100
+    bear = (F.abs(change) <= flat) & (at("margin", 1) < F.col("margin"))
+    good = F.coalesce(grown(1), F.lit(False)) | F.coalesce(grown(2), F.lit(False))
+    signal = F.when(good, "bullish").when(F.coalesce(bear, F.lit(False)), "bearish").otherwise("neutral")
+    return annual.withColumn("__before", at("capex", -1)).withColumn("signal", signal).where("capex > __before").select("entity", "year", "signal")
+
+
+def structure_changing(segments: DataFrame, points: float = 5.0, years: int = 2) -> DataFrame:
+    """(entity, result): whether a segment of high margin quality that rises gained over ``points`` of share in ``years`` years.
+
+    segments: (entity, segment, year, share, margin_quality, direction); the last year's quality and direction count."""
+    by = Window.partitionBy("entity", "segment").orderBy("year")
+    rows = segments.withColumn("__then", F.max("share").over(by.rangeBetween(-years, -years))).withColumn("__last", F.max("year").over(Window.partitionBy("entity")))
+    hit = (F.col("year") == F.col("__last")) & (F.col("margin_quality") == "high") & (F.col("direction") == "rising") & (F.col("share") - F.col("__then") > points)
+    return rows.groupBy("entity").agg(F.coalesce(F.bool_or(hit), F.lit(False)).alias("result"))
+
+
+def rerate_assembly(structure: Column, quality: Column, narrative: Column, emerging: Column, *insufficient: Column) -> Column:
+    """The three conditions as one struct; insufficient if any of them is."""
+    cond = lambda r, e: F.struct(F.coalesce(r, F.lit(False)).alias("result"), F.coalesce(e, F.lit(False)).alias("emerging"))
+    lacking = F.lit(False)
+    for x in insufficient:
+        lacking = lacking | F.coalesce(x, F.lit(False))
+    return F.struct(cond(structure, F.lit(False)).alias("structure_changing"), cond(quality, F.lit(False)).alias("quality_changing"), cond(narrative, emerging).alias("narrative_changing"), lacking.alias("insufficient_data"))
+
+
+def unusual_candidates(results: DataFrame) -> DataFrame:
+    """(entity, kind, item): what may be unusual by the notes' and the financial summary's results (entity, result): red flags,
+    off-balance and related-party amounts, a changed revenue policy, quality flags, anomalies."""
+    lists = {"red_flag": "$.notes.red_flags", "quality_flag": "$.financial.quality_flags", "anomaly": "$.financial.anomalies"}
+    one = lambda k, x: F.struct(F.lit(k).alias("kind"), x.alias("item"))
+    none = F.array().cast("array<struct<kind:string,item:string>>")
+    listed = lambda k, p: F.transform(F.from_json(F.get_json_object("result", p), "array<string>"), lambda x: one(k, x))
+    found = [F.coalesce(listed(k, p), none) for k, p in lists.items()]
+    amount = lambda p: F.nullif(F.get_json_object("result", p), F.lit(""))
+    for k, p in (("off_balance_sheet", "$.notes.off_balance_sheet.amount"), ("related_party", "$.notes.related_party.amount")):
+        found.append(F.when(amount(p).isNotNull(), F.array(one(k, amount(p)))).otherwise(none))
+    changed = F.get_json_object("result", "$.notes.revenue_recognition.changed") == "true"
+    found.append(F.when(changed, F.array(one("revenue_recognition", F.coalesce(amount("$.notes.revenue_recognition.change_detail"), F.lit("changed"))))).otherwise(none))
+    return results.select("entity", F.explode(F.concat(*found)).alias("f")).select("entity", "f.*")
+
+
+def mdna_realized(risks: DataFrame, mdna: DataFrame) -> DataFrame:
+    """The risks (entity, title, ..) with whether the entity's MD&A (entity, text) speaks of them by that title, any case."""
+    rows = risks.join(mdna.select("entity", F.lower("text").alias("__t")), "entity", "left")
+    return rows.withColumn("mdna_realized", F.coalesce(F.col("__t").contains(F.lower("title")), F.lit(False))).drop("__t")

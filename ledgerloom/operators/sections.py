@@ -206,3 +206,26 @@ def grouped_notes(docs: DataFrame) -> DataFrame:
     joined = n.groupBy("doc_id", "grp").agg(F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("t")).select("doc_id", "grp", F.array_join(F.col("t.text"), "\n\n").alias("text"))
     without = docs.join(n.select("doc_id").distinct(), "doc_id", "left_anti")
     return joined.unionByName(without.select("doc_id", F.lit("fn_revenue").alias("grp"), notes_text(F.col("text")).alias("text")))
+
+
+def assembled(docs: DataFrame, sections: DataFrame, filing_type: str = "10-K") -> DataFrame:
+    """(doc_id, item1_current, item1a_current, item7_current, partiii_current, item8_fs, fn_combined) of documents by their
+    sections: what tasks take. A 10-Q has its statements in item1 and its discussion in item2, no business section, no Part
+    III, and its notes in one piece."""
+    wanted = dims.INPUT_SECTIONS[filing_type]
+    statements = "item1" if filing_type == "10-Q" else "item8"
+    names = sorted({x for xs in wanted.values() for x in xs} | {statements})
+    of = lambda k: F.coalesce(F.max(F.when(F.col("section") == k, F.col("text"))), F.lit("")).alias(k)
+    rows = docs.select("doc_id").join(sections.select("doc_id", "section", "text"), "doc_id", "left").groupBy("doc_id").agg(*map(of, names))
+    inputs = [F.concat_ws("\n", *[F.col(x) for x in xs]).alias(k) if xs else F.lit("").alias(k) for k, xs in wanted.items()]
+    combined = notes_text(F.col(statements)) if filing_type == "10-Q" else F.lit(None).cast("string")
+    return rows.select("doc_id", *inputs, statements_text(F.col(statements)).alias("item8_fs"), combined.alias("fn_combined"))
+
+
+def located_sections(docs: DataFrame, wanted: DataFrame, filing_type: str = "10-K") -> DataFrame:
+    """``tiered_sections``, and for documents that neither tier gives anything the sections at the places that ``wanted``
+    (doc_id, section, anchor: a line's beginning, as a provider gives it) names, as tier 3."""
+    found = tiered_sections(docs, filing_type)
+    rest = docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+    at = prefix_lines(rest, wanted)
+    return found.unionByName(slices(rest, at.select("doc_id", "section", "line_no"), dims.TARGETS[filing_type]).withColumn("tier", F.lit(3)))

@@ -132,3 +132,70 @@ TERM_SUBSTITUTES = [
     ("OperatingIncomeLoss", "Operating Income"), ("OperatingIncome", "Operating Income"), ("GrossProfit", "Gross Profit"), ("NetIncomeLoss", "Net Income"), ("NetIncome", "Net Income"),
     ("OperatingCashFlow", "Operating Cash Flow"), ("CapEx", "Capital Expenditure"), ("LongTermDebt", "Long-term Debt"), ("SharesOutstanding", "Shares Outstanding"),
 ]
+#: Display names by table; a value that isn't named is shown as it is, or as DISPLAY_ELSE has it.
+DISPLAY = {
+    "level": {"high": "高", "medium": "中", "low": "低"},
+    "trend": {"improving": "改善", "stable": "持平", "deteriorating": "下降"},
+    "category": {"concentration": "集中", "geopolitical": "地緣", "price": "價格", "shortage": "短缺", "logistics": "物流", "regulatory": "法規"},
+    "outlook": {"conservative": "保守", "neutral": "中性", "optimistic": "樂觀"},
+    "position": {"leader": "領先", "challenger": "挑戰者", "niche": "利基", "follower": "跟隨"},
+    "market": {"growing": "成長", "stable": "穩定", "declining": "下滑"},
+    "class": {"industry_norm": "行業常態", "company_specific": "公司特殊", "hybrid": "混合型"},
+    "tone": {"positive": "正面", "neutral": "中性", "negative": "負面"},
+    "investor": {"positive": "正面", "neutral": "中性", "negative": "負面"},
+    "term": {"financial": "財務", "industry": "行業", "company_defined": "公司自定", "regulatory": "法規"},
+    "against": {"intensifying": "加劇", "stable": "持平", "easing": "緩解"},
+    "icon": {"high": "●", "medium": "○", "low": "·"},
+    "importance": {"high": "0", "medium": "1", "low": "2"},
+}
+DISPLAY_ELSE = {"investor": "", "icon": "·", "against": "—"}
+#: Report rows in order: metric, label, format.
+REPORT_ROWS = [
+    ("Revenue", "營收", "money"), ("OperatingIncome", "營業利益", "money"), ("NetIncome", "淨利", "money"), ("OperatingCashFlow", "營業現金流", "money"), ("CapEx", "資本支出", "money"),
+    ("LongTermDebt", "長期負債", "money"), ("SharesOutstanding", "流通股數", "shares"),
+    ("rev_yoy", "營收 YoY", "signed"), ("ni_yoy", "淨利 YoY", "signed"), ("op_margin", "營業利益率", "percent"), ("net_margin", "淨利率", "percent"), ("fcf_to_revenue", "FCF 轉換率", "percent"), ("capex_to_revenue", "CapEx/營收", "percent"),
+]
+#: Typed results of the notes' tasks.
+NOTE_SCHEMAS = {
+    "fn_revenue": "revenue_recognition STRUCT<policy: STRING, timing: STRING, changed: BOOLEAN, change_detail: STRING>, new_standards ARRAY<STRUCT<standard: STRING, effective_date: STRING, impact: STRING>>, other_policy_changes ARRAY<STRING>, insufficient_data BOOLEAN",
+    "fn_segment": "segments ARRAY<STRUCT<name: STRING, revenue: STRING, profit: STRING, asset_pct: STRING>>, segment_redefined BOOLEAN, geographic_mix ARRAY<STRING>, major_customers ARRAY<STRING>, restructuring STRUCT<total_charge: STRING, nature: STRING, expected_completion: STRING>, insufficient_data BOOLEAN",
+    "fn_receivables": "securitization STRUCT<facility_size: STRING, drawn_amount: STRING, unsold_collateral: STRING>, customer_receivables_sold STRING, debt_structure ARRAY<STRUCT<type: STRING, amount: STRING, maturity: STRING, rate: STRING>>, covenants STRING, credit_facility STRUCT<size: STRING, drawn: STRING>, off_balance_sheet_impact STRING, insufficient_data BOOLEAN",
+    "fn_assets": "inventory STRUCT<method: STRING, lifo_reserve: STRING, lifo_reserve_change: STRING>, ppe STRUCT<capex: STRING, depreciation_method: STRING>, goodwill STRUCT<total: STRING, by_unit: ARRAY<STRUCT<unit: STRING, amount: STRING>>, impairment_test: STRUCT<discount_rate: STRING, growth_rate: STRING, cushion: STRING>, cumulative_impairment: STRING>, intangibles_amortization STRING, financial_instruments STRING, insufficient_data BOOLEAN",
+    "fn_risk": "contingencies ARRAY<STRUCT<description: STRING, amount: STRING, likelihood: STRING>>, environmental STRUCT<reserve: STRING, sites_count: STRING, current_portion: STRING>, commitments ARRAY<STRUCT<type: STRING, amount: STRING, nature: STRING>>, leases STRUCT<operating_total: STRING, finance_total: STRING>, subsequent_events ARRAY<STRING>, insufficient_data BOOLEAN",
+    "fn_pension": "funded_status STRUCT<pbo: STRING, plan_assets: STRING, deficit: STRING>, assumptions STRUCT<discount_rate: STRING, return_on_assets: STRING, salary_growth: STRING>, unrecognized_losses STRING, asset_allocation ARRAY<STRUCT<category: STRING, pct: STRING>>, expected_contributions STRING, net_periodic_cost STRING, insufficient_data BOOLEAN",
+    "fn_compensation": "sbc STRUCT<expense: STRING, to_revenue_pct: STRING, unrecognized: STRING, vest_period: STRING>, buyback STRUCT<shares: STRING, amount: STRING>, eps STRUCT<basic: STRING, diluted: STRING, dilution_sources: STRING>, aoci_components ARRAY<STRUCT<item: STRING, amount: STRING, change: STRING>>, insufficient_data BOOLEAN",
+    "fn_tax": "effective_rate STRING, statutory_vs_effective STRING, major_adjustments ARRAY<STRING>, deferred_tax STRUCT<assets: STRING, liabilities: STRING, valuation_allowance: STRING, va_change: STRING>, uncertain_tax_positions STRUCT<amount: STRING, change: STRING>, tax_disputes ARRAY<STRING>, tax_credits ARRAY<STRING>, insufficient_data BOOLEAN",
+    "governance": "audit_opinion STRING, internal_control_issues ARRAY<STRING>, exec_compensation STRUCT<structure: STRING, performance_linked_pct: STRING, kpi_alignment: STRING>, major_shareholders ARRAY<STRUCT<name: STRING, pct: STRING, change: STRING>>, board_independence_pct STRING, related_party_item13 ARRAY<STRING>, governance_flags ARRAY<STRING>, insufficient_data BOOLEAN",
+}
+#: Values that a field may have.
+ENUMS = {
+    "timing": ["point-in-time", "over-time", "mixed"], "likelihood": ["probable", "reasonably_possible", "remote"],
+    "audit_opinion": ["unqualified", "qualified", "adverse", "disclaimer"], "kpi_alignment": ["aligned", "misaligned", "unclear"],
+}
+HOLDER_PERCENT, SCORE_PARTS, COVERAGE_DIMENSIONS = 5.0, (34, 33, 33), 6
+#: Of these results only these keys go on to the synthesis.
+SLIM_KEYS = {
+    "rerate_signal": ["structure_changing", "quality_changing", "narrative_changing"],
+    "segment_trend": ["structural_shift", "shift_description", "rerating_candidate_structure"],
+    "three_statement_cross": ["dominant_signal", "rerating_candidate_quality", "overall_signals"],
+}
+#: Section key -> the name under which a task takes it.
+INPUT_NAMES = {
+    **{f"{k}_current": "current_section" for k in ("item1", "item1a", "item7", "partiii")}, **{f"{k}_prior": "prior_section" for k in ("item1", "item1a", "item7")},
+    **{k: "current_section" for k in (*NOTE_GROUPS, "fn_combined")}, "all_sections_md": "all_sections_md",
+}
+#: Input -> the sections that it is made of, by filing type; several are joined by a line break.
+INPUT_SECTIONS = {
+    "10-K": {"item1_current": ["item1"], "item1a_current": ["item1a"], "item7_current": ["item7"], "partiii_current": ["item10", "item11", "item13"]},
+    "10-Q": {"item1_current": [], "item1a_current": ["item1a"], "item7_current": ["item2"], "partiii_current": []},
+}
+#: Later phases in order: phase, (task, skill, the results that it reads). The first phase is ``TASKS``.
+PHASES = [
+    ("phase2", [("financial", "financial_analysis", ["notes"])]),
+    ("phase2b", [("segment_trend", "segment_trend", ["business", "mdna"])]),
+    ("phase2c", [("three_statement_cross", "three_statement_cross", ["financial"])]),
+    ("phase3", [("unusual_operations", "unusual_operations", ["notes", "financial", "business"])]),
+    ("phase3b", [("rerate_structure", "rerate_structure", ["segment_trend"]), ("rerate_quality", "rerate_quality", ["three_statement_cross"]), ("rerate_narrative", "rerate_narrative", ["mdna"])]),
+    ("synthesis", [("insight", "insight_synthesis", ["business", "risk", "financial", "segment_trend", "three_statement_cross", "unusual_operations"])]),
+    ("phase5", [("completeness", "completeness_check", ["financial", "risk", "unusual_operations", "insight"])]),
+]

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -14,3 +18,14 @@ def session(name: str = "ledgerloom", master: str | None = None, **conf: str) ->
     for k, v in conf.items():
         builder = builder.config(k.replace("__", "."), v)
     return builder.getOrCreate()
+
+
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the one that ``spark.checkpoint.dir`` names; only a local session may have none."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/ledgerloom/{name}-{uuid.uuid4().hex}"

@@ -55,3 +55,16 @@ def read_skills(spark: SparkSession, path: str) -> DataFrame:
     d = read_documents(spark, path)
     version = F.regexp_extract(F.substring("text", 1, 200), r"skill_version:\s*([\d.]+)", 1)
     return d.select(F.regexp_extract("path", r"([^/]+)\.md$", 1).alias("skill"), F.when(version == "", "unknown").otherwise(version).alias("version"), "text")
+
+
+CONFIG_SCHEMA = "provider STRING, model STRING, api_key STRING, max_tokens INT, max_tokens_by_skill MAP<STRING, INT>, sec_user_agent STRING"
+
+
+def read_config(spark: SparkSession, path: str) -> DataFrame:
+    """The settings of a run, one row typed; what isn't set is null but for the token cap, which is 4096."""
+    return spark.read.schema(CONFIG_SCHEMA).json(path, multiLine=True).fillna({"max_tokens": 4096})
+
+
+def token_cap(config: DataFrame, skill: str) -> int:
+    """The skill's own cap on output tokens, or the general one."""
+    return config.select(F.coalesce(F.try_element_at("max_tokens_by_skill", F.lit(skill)), "max_tokens")).first()[0]

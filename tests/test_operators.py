@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text
-from ledgerloom.operators import evaluation, facts, renderers, sections, state
+from ledgerloom.operators import evaluation, facts, layouts, renderers, report, sections, state, typed
 from ledgerloom.operators import transcripts as t
-from ledgerloom.plans import skills
+from ledgerloom.plans import dims, phases, report_layouts, skills
 from ledgerloom.sources import scraped, sinks, tables
 from ledgerloom.streaming import usage
 
@@ -59,6 +59,9 @@ def test_growth_skips_gaps_and_zeros(spark):
     df = spark.createDataFrame(rows, FACTS.replace("DATE", "STRING")).withColumn("start_date", F.to_date("start_date")).withColumn("end_date", F.to_date("end_date"))
     got = {r.year: r.yoy_pct for r in facts.annual_growth(facts.annual_metrics(df)).collect()}
     assert got == {2018: None, 2020: None, 2021: None, 2022: None}
+    rows = [(1, "Revenue", 0, i, "10-K", "FY", 2018 + i, None, None, v, f"{2019 + i}-02-01") for i, v in enumerate([10.0, 15.0, 12.0, -3.0])]
+    df = spark.createDataFrame(rows, FACTS.replace("DATE", "STRING")).withColumn("start_date", F.to_date("start_date")).withColumn("end_date", F.to_date("end_date"))
+    assert {r.year: r.yoy_pct for r in facts.annual_growth(facts.annual_metrics(df)).collect()} == {2018: None, 2019: 50.0, 2020: -20.0, 2021: -125.0}
 
 
 def test_latest_filed_ties_go_to_later_concept(spark):
@@ -93,6 +96,88 @@ def test_dry_run_flags_what_fails_twice(spark):
     assert out == {"three_statement_cross": True, "financial": False}
 
 
+def counting(path, reply="{}"):
+    """A provider that adds a line to a file for each call, as workers are other processes."""
+
+    def call(task_id, prompt):
+        with open(path, "a") as f:
+            f.write(f"{task_id} {len(prompt)}\n")
+        return reply[task_id] if isinstance(reply, dict) else reply
+
+    return call
+
+
+def test_each_task_is_called_once_for_each_try(spark, tmp_path):
+    calls, folder = tmp_path / "calls", f"file://{tmp_path}/run"
+    replies = {"three_statement_cross": '{"checks": [1]}', "fn_tax": '{"insufficient_data": false}'}
+    df = spark.createDataFrame([(k, "x" * 200, "p") for k in replies], "task_id STRING, source STRING, prompt STRING")
+    out = skills.evaluated_run(df, counting(calls, replies), 81, path=folder)
+    for _ in range(2):
+        assert {r.task_id: r.low_confidence for r in out.collect()} == {"three_statement_cross": True, "fn_tax": False}
+    assert len(calls.read_text().splitlines()) == 3  # one task failed and was tried again
+    skills.evaluated_run(df, counting(calls, replies), 81, path=folder).collect()
+    assert len(calls.read_text().splitlines()) == 3
+    more = df.union(spark.createDataFrame([("fn_tax2", "s", "p")], df.schema))
+    done = skills.run_once(more, counting(calls), f"{folder}/first")
+    assert done.count() == 3 and len(calls.read_text().splitlines()) == 4
+
+
+def test_phases_read_each_other_and_run_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(dims, "PHASES", [p for p in dims.PHASES if p[0] in ("phase2", "phase2b", "synthesis")])
+    calls, folder = tmp_path / "calls", f"file://{tmp_path}/phases"
+    filings = spark.createDataFrame([(1, "10-K", None, 2020, 900), (2, "10-Q", "Q2", 2020, 0)], "entity LONG, filing_type STRING, quarter STRING, prior_year INT, pension_chars INT")
+    inputs = spark.createDataFrame([(1, "item1_current", "business text"), (1, "fn_tax", "tax"), (2, "item7_current", "mdna")], "entity LONG, key STRING, text STRING")
+
+    def reply(task_id, prompt):
+        with open(calls, "a") as f:
+            f.write(f"{task_id}\n")
+        return json.dumps({"task": task_id, "prompt": prompt, "structural_shift": True, "x": "y" * 100})
+
+    out = phases.run_phases(filings, inputs, reply, folder)
+    got = {(r.entity, r.task_id): json.loads(r.result) for r in out.collect()}
+    assert got[1, "business"]["prompt"] == "## current_section\nbusiness text" and (2, "business") not in got and (2, "segment_trend") not in got
+    assert '"fn_tax"' in got[1, "financial"]["prompt"] and "## notes" in got[2, "financial"]["prompt"] and '"fn_combined"' in got[2, "financial"]["prompt"]
+    assert "## business" in got[1, "segment_trend"]["prompt"] and got[1, "insight"]["prompt"].startswith("## business")
+    assert '{"structural_shift": true, "shift_description": null, "rerating_candidate_structure": null}' in got[1, "insight"]["prompt"]
+    n = len(calls.read_text().splitlines())
+    assert n == len(got)
+    assert phases.run_phases(filings, inputs, reply, folder).count() == n and len(calls.read_text().splitlines()) == n
+
+
+def test_a_whole_report(spark):
+    results = spark.createDataFrame([(1, json.dumps({"business": {"company_positioning": "here"}}))], "entity LONG, result STRING")
+    metrics = spark.createDataFrame([(1, "Revenue", 2.5e9, None), (1, "SharesOutstanding", 1.25e6, 900.0), (1, "rev_yoy", -1.25, 3.0), (1, "op_margin", 12.0, None), (1, "unknown", 1.0, 1.0)], "entity LONG, metric STRING, y2020 DOUBLE, y2021 DOUBLE")
+    quarters = spark.createDataFrame([(1, "2020Q1", 1e6, 2.0, 3.0, None), (1, "2020Q2", None, None, 1.0, 1.0), (2, "2020Q1", 1.0, 1.0, 1.0, 1.0)], "entity LONG, quarter STRING, revenue DOUBLE, rev_growth_yoy DOUBLE, op_margin DOUBLE, net_margin DOUBLE")
+    calls = results.select("entity", F.lit(None).cast("string").alias("result"))
+    rows = report.full_report(results, calls, metrics, [2020, 2021], quarters, "10-Q").orderBy("section_no", "line_no").collect()
+    text_ = [r.text for r in rows]
+    assert text_[0].startswith("## Forward Guidance\n\n*") and text_[3].startswith("---") and "10-Q" in text_[3] and text_[4] == "## 財務數據"
+    assert text_[5:10] == ["| 指標 | 2020 | 2021 |\n|------|------:|------:|", "| 營收 | $2.5B | — |", "| 流通股數 | 1.3M | 900 |", "| 營收 YoY | -1.3% | +3.0% |", "| 營業利益率 | 12.0% | — |"] or text_[7] == "| 流通股數 | 1.2M | 900 |"
+    assert "| 2020Q1 | $1M | +2.0% | 3.0% | — |" in text_ and "## 公司定位" in text_ and "> 本季 MD&A 無明顯競爭壓力新增揭露。" in text_ and {r.entity for r in rows} == {1}
+    combined = layouts.combined(spark.createDataFrame([(1, "b", '{"x": 1}'), (1, "a", None), (2, "a", "[]")], "entity LONG, task_id STRING, result STRING"))
+    assert {r.entity: json.loads(r.result) for r in combined.collect()} == {1: {"a": None, "b": {"x": 1}}, 2: {"a": []}}
+
+
+def test_third_tier_and_sources(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "words\nSTART HERE and on\nbody\n")], "doc_id LONG, text STRING")
+    wanted = spark.createDataFrame([(1, "item7", "START HERE and on")], "doc_id LONG, section STRING, anchor STRING")
+    assert [(r.section, r.tier, r.start_line) for r in sections.located_sections(docs, wanted).collect()] == [("item7", 3, 1)]
+    (tmp_path / "c.json").write_text('{"provider": "none", "max_tokens_by_skill": {"a": 8192}}')
+    config = tables.read_config(spark, str(tmp_path / "c.json"))
+    assert tables.token_cap(config, "a") == 8192 and tables.token_cap(config, "b") == 4096 and config.first().model is None
+    calls = spark.createDataFrame([("a/b c", "p", "r"), ("x", None, "r")], "label STRING, prompt STRING, raw STRING")
+    sinks.append_contexts(calls, str(tmp_path / "ctx"))
+    assert {(r.label, r.text) for r in spark.read.json(str(tmp_path / "ctx")).select("label", "text").collect()} == {("a_b_c", "## request\np\n\n## response\nr"), ("x", "## request\n\n\n## response\nr")}
+    lines = spark.createDataFrame([(1, 2, 1, "b"), (1, 1, 1, "a"), (2, 1, 1, "c")], "entity INT, section_no INT, line_no INT, text STRING")
+    sinks.write_report(lines, str(tmp_path / "reports"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "reports" / "entity=1")).collect()] == ["a", "b"]
+
+
+def test_typed_results_of_a_wrong_type(spark):
+    rows = spark.createDataFrame([(1, "fn_risk", '{"contingencies": "none", "leases": {"operating_total": 5}}'), (2, "fn_risk", "no JSON")], "entity LONG, task_id STRING, result STRING")
+    assert [(r.contingencies, r.leases and r.leases.operating_total) for r in typed.typed(rows, "fn_risk").orderBy("entity").collect()] == [(None, "5"), (None, None)]
+
+
 def test_notes_without_letters_are_all_revenue(spark):
     docs = spark.createDataFrame([(1, "plain\ntext")], "doc_id INT, text STRING")
     assert [(r.grp, r.text) for r in sections.grouped_notes(docs).collect()] == [("fn_revenue", "plain\ntext")]
@@ -156,8 +241,8 @@ RESULT = {
 
 def test_rendered_results(spark):
     df = spark.createDataFrame([(1, json.dumps(RESULT)), (2, "{}")], "entity INT, result STRING")
-    lines = {(r.entity, r.section_no, r.line_no): r.text for r in renderers.rendered(df, renderers.GUIDANCE).collect()}
-    assert lines[(1, 0, 1)] == "| Revenue\\|x | $1B | — | — |  |" and lines[(2, 0, 0)] == "（本季無硬性指引）"
+    lines = {(r.entity, r.section_no, r.line_no): r.text for r in layouts.rendered(df, report_layouts.GUIDANCE).collect()}
+    assert lines[(1, 0, 1)] == "| Revenue\\|x | $1B | — | — |  |" and lines[(2, 0, 1)] == "（本季無硬性指引）"
     assert lines[(1, 1, 1)] == "- ****（up）：d" and lines[(1, 3, 1)] == "- 需留意" and (2, 1, 0) not in lines
     assert {r.entity: r.text for r in renderers.concerns(df).collect()} == {1: "### Margin（被問 2 次）\n\n**管理層回應**：ok\n\n> a\n> b", 2: renderers.NO_CONCERNS}
     assert [r.text for r in renderers.pressure(df).collect()] == ['- [高] **s** — m（vs 上季：緩解）\n  > "q"']

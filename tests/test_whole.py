@@ -23,10 +23,10 @@ def test_percent_rounds_ties_away_from_zero(spark):
         assert r.signed.lstrip("+-") == want.lstrip("-") and (r.v is None or r.signed[0] == ("-" if r.v < 0 else "+"))
 
 
-def test_signed_percent_all_has_every_order_and_its_ties(spark, tmp_path):
+def test_signed_percent_has_every_order_and_its_ties(spark, tmp_path):
     prices = [10.0, 14.0, 9.0, 2.0, 6.0]
     spark.createDataFrame([(i, p) for i, p in enumerate(prices, 1)], "o_orderkey LONG, o_totalprice DOUBLE").write.parquet(f"{tmp_path}/orders.parquet")
-    got = {r.o_orderkey: (r.growth, r.margin) for r in catalog.QUERIES["signed_percent_all"](spark, str(tmp_path)).collect()}
+    got = {r.o_orderkey: (r.growth, r.margin) for r in catalog.QUERIES["signed_percent"](spark, str(tmp_path)).collect()}
     assert got == {1: ("+1.3%", "1.3%"), 2: ("+1.8%", "1.8%"), 3: ("+1.1%", "1.1%"), 4: ("+0.3%", "0.3%"), 5: ("+0.8%", "0.8%")}
 
 
@@ -36,14 +36,14 @@ def test_texts_are_taken_whole(spark, tmp_path):
     md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
     of = lambda name, col: {r.doc_id: r[col] for r in catalog.QUERIES[name](spark, str(tmp_path)).collect()}
     cells = [(x or "").replace("|", "\\|").replace("\n", " ").replace("\r", " ") for x in texts]
-    assert of("escape_cell_whole", "cell_md5") == {i: md5(x) for i, x in enumerate(cells)}
-    folded = of("term_substitute_whole", "text_md5")
+    assert of("escape_cell", "cell_md5") == {i: md5(x) for i, x in enumerate(cells)}
+    folded = of("term_substitute", "text_md5")
     for i, start in enumerate(("OperatingIncomeLoss ", "NetIncome and CapEx ", "大幅惡化 ")):
         want = start + texts[i]
         for a, b in dims.TERM_SUBSTITUTES:
             want = want.replace(a, b)
         assert folded[i] == md5(want)
-    assert of("coalesce_candidates_whole", "text_md5") == {0: md5(texts[0]), 1: md5("s " + texts[1]), 2: md5(texts[2]), 3: None}
+    assert of("coalesce_candidates", "text_md5") == {0: md5(texts[0]), 1: md5("s " + texts[1]), 2: md5(texts[2]), 3: None}
 
 
 def test_eval_loop_runs_every_document(spark, tmp_path):
