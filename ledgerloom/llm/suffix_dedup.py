@@ -31,10 +31,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._gsaca import suffix_array
-from ._shared import blocks, drop_written, mixed, text_array, written
+from ._shared import blocks, drop_written, input_bytes, mixed, text_array, written
 
 GRAM = 32
-BIN_BYTES, MOST_CONTEXTS = 512 << 10, 20_000
+BIN_BYTES, MOST_CONTEXTS, BUCKET_BYTES = 512 << 10, 20_000, 64 << 20
 _PIECE = 8 << 20
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -385,9 +385,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     earlier in the same one. A null text counts as empty. Rows that repeat both id and text are one document and are
     treated alike; of rows that repeat an id with other texts the order is that of a hash of the text; a null id comes
     before all others. An empty table gives no rows; other columns are ignored. n_buckets: of fingerprints, by default
-    the session's shuffle partitions."""
+    the session's shuffle partitions, or more where BUCKET_BYTES of the input a bucket gives more: a task holds one bucket."""
     spark = docs.sparkSession
-    n_buckets = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = n_buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), input_bytes(docs) // BUCKET_BYTES)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text"))
     whole = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"))

@@ -120,13 +120,13 @@ def _unpacked(data: bytes, width: int) -> np.ndarray:
     return np.frombuffer(data, np.int64).reshape(-1, width) if width else np.zeros((0, 0), np.int64)
 
 
-def _starts(kth: list, n: int) -> np.ndarray:
-    """Scores to start from, -inf where there is none."""
-    out = np.full(n, -np.inf, object)
+def _starts(kth: list, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Scores to start from and the ids that hold them, -inf where there is none."""
+    out, held = np.full(n, -np.inf, object), np.zeros(n, np.int64)
     for x in kth or []:
         if x["kth"] is not None:
-            out[x["i"]] = x["kth"]
-    return out if any(isinstance(x, int) and abs(x) >= 2**53 for x in out.tolist()) else out.astype(float)
+            out[x["i"]], held[x["i"]] = x["kth"], x["held"]
+    return out if any(isinstance(x, int) and abs(x) >= 2**53 for x in out.tolist()) else out.astype(float), held
 
 
 def _bounded(width: int, best_only: bool):
@@ -135,13 +135,14 @@ def _bounded(width: int, best_only: bool):
     def find(groups: pa.Table, shards: pa.Table) -> pa.Table:
         if not groups.num_rows or not shards.num_rows:
             return pa.table({"grp": pa.array([], pa.int32()), "shard": pa.array([], pa.int64()), "i": pa.array([], pa.int32()), "bound": pa.array([], pa.float64())})
+        shards = shards.sort_by("shard")  # of equal bounds the smaller ids', as ties go to these
         grp, q = groups["grp"][0].as_py(), _unpacked(groups["m"][0].as_py(), width)
         high, low = (np.concatenate([_unpacked(x, width) for x in shards[c].to_pylist()]) for c in ("high", "low"))
         bounds = bounds_of(*_exact(q, high, low))
         if best_only:
             i, s = np.arange(len(q)), np.array(bounds.argmax(axis=1))
         else:
-            start = _starts(groups["kth"][0].as_py(), len(q))
+            start, _ = _starts(groups["kth"][0].as_py(), len(q))
             i, s = np.nonzero(np.asarray(bounds >= start[:, None], bool))
         names = shards["shard"].to_numpy()[s]
         return pa.table({"grp": pa.array([grp] * len(i), pa.int32()), "shard": pa.array(names), "i": pa.array(i, pa.int32()), "bound": pa.array(bounds[i, s].astype(float))})
@@ -156,7 +157,11 @@ def _scored(width: int, k: int, block: int):
         row = {c: table[c][0].as_py() for c in table.column_names}
         which = np.sort(np.array(row["which"], np.int64))
         ids, q = np.frombuffer(row["q_ids"], np.int64), _unpacked(row["q_m"], width)
-        found = search(q[which], ids[which], _unpacked(row["m"], width), np.frombuffer(row["ids"], np.int64), k, block, _starts(row["kth"], len(q))[which])
+        start, held = (x[which] for x in _starts(row["kth"], len(q)))
+        found = search(q[which], ids[which], _unpacked(row["m"], width), np.frombuffer(row["ids"], np.int64), k, block, start)
+        # what ranks behind the k-th that a query has already can't be among its best
+        fit = [(s > start[j]) | ((s == start[j]) & (i <= held[j])) for j, (i, s) in enumerate(found)]
+        found = [(i[np.asarray(f, bool)], s[np.asarray(f, bool)]) for (i, s), f in zip(found, fit, strict=True)]
         n = np.array([len(i) for i, _ in found], np.int64)
         scores = [int(x) for _, s in found for x in s.tolist()]
         if any(abs(x) >= 2**63 for x in scores):
@@ -210,10 +215,11 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, id_col: st
         both = pairs.groupBy("grp", "shard").agg(F.collect_list("i").alias("which")).join(q, "grp").join(shards.select("shard", "ids", "m").hint("merge"), "shard")
         return both.groupBy("grp", "shard").applyInArrow(_scored(width, k, block), "grp int, i int, query_id long, vec_id long, score long")
 
-    none = queries.withColumn("kth", F.lit(None).cast("array<struct<i:int,kth:long>>"))
-    best = let_through(none, True).groupBy("grp", "i").agg(F.max(F.struct("bound", "shard"))["shard"].alias("shard"))
-    first = scored(best, none).groupBy("grp", "i").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("kth"))
-    seeds = first.groupBy("grp").agg(F.collect_list(F.struct("i", "kth")).alias("kth"))
+    none = queries.withColumn("kth", F.lit(None).cast("array<struct<i:int,kth:long,held:long>>"))
+    best = let_through(none, True).groupBy("grp", "i").agg(F.max(F.struct("bound", -F.col("shard"), "shard"))["shard"].alias("shard"))
+    last = F.min(F.struct("score", -F.col("vec_id"), "vec_id"))  # of equal scores the largest id is the k-th
+    first = scored(best, none).groupBy("grp", "i").agg(F.when(F.count(F.lit(1)) == k, last).alias("last")).select("grp", "i", F.col("last.score").alias("kth"), F.col("last.vec_id").alias("held"))
+    seeds = first.groupBy("grp").agg(F.collect_list(F.struct("i", "kth", "held")).alias("kth"))
     started = written(queries.join(seeds, "grp", "left"), "queries")
     found = scored(let_through(started, False), started)
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

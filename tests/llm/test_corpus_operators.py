@@ -401,6 +401,16 @@ def test_sums_beyond_doubles(spark):
         topk.top_k(df.withColumn("embedding", F.transform("embedding", lambda x: x * 1e30)), F.col("vec_id") == 0).collect()
 
 
+def test_ties_of_a_very_common_vector(spark):
+    """Most vectors are equal: the smallest ids win, whichever shard gave the first k-th score."""
+    rows = [(i, [1.0, 2.0] if i % 5 else [float(i % 3), 1.0]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id LONG, embedding ARRAY<DOUBLE>").repartition(7)
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") % 20 == 0, 10, shard_rows=16, group_rows=3, block=4).collect()}
+    m = np.floor(64 * np.array([v for _, v in rows])).astype(int)
+    want = {(q, r): (j, -s) for q in range(0, 400, 20) for r, (s, j) in enumerate(sorted((-int(x), i) for i, x in enumerate(m @ m[q]) if i != q)[:10], 1)}
+    assert got == want
+
+
 def test_bounds_keep_vectors_back(spark):
     """Vectors in clusters by id: most pairs of a query and a shard are never scored, and no result is lost."""
     rng = np.random.default_rng(3)
@@ -414,7 +424,7 @@ def test_bounds_keep_vectors_back(spark):
     shards = [m[a : a + 25] for a in range(0, 1000, 25)]
     bounds = pa.table({"shard": list(range(40)), "high": [x.max(axis=0).tobytes() for x in shards], "low": [x.min(axis=0).tobytes() for x in shards]})
     kth = sorted((m @ m[60]).tolist())[-6]
-    group = pa.table({"grp": [0], "m": [m[60].tobytes()], "kth": [[{"i": 0, "kth": kth}]]})
+    group = pa.table({"grp": [0], "m": [m[60].tobytes()], "kth": [[{"i": 0, "kth": kth, "held": 0}]]})
     assert topk._bounded(20, True)(group, bounds)["shard"].to_pylist() in ([2], [3])
     assert topk._bounded(20, False)(group, bounds)["shard"].to_pylist() == [2, 3]
 
