@@ -87,13 +87,22 @@ def _map(x: Column) -> Column:
     return F.when(x.startswith("{"), F.from_json(x, "map<string,string>"))
 
 
-def _has(result: Column, path: str) -> Column:
-    return ~F.coalesce(F.get_json_object(result, path), F.lit("")).isin(*_EMPTY)
+def _at(path: str) -> Column:
+    """What is at a path of the result, from column ``top``, its parts by key: a result is parsed once, not for each path."""
+    first, _, rest = path[2:].partition(".")
+    if not first:
+        return F.col("result")
+    part = F.element_at("top", first)
+    return F.get_json_object(part, f"$.{rest}") if rest else part
 
 
-def _items(result: Column, s: Section) -> Column:
+def _has(path: str) -> Column:
+    return ~F.coalesce(_at(path), F.lit("")).isin(*_EMPTY)
+
+
+def _items(s: Section) -> Column:
     """Items as array of (pos, raw, item), null where there are none."""
-    found = F.get_json_object(result, s.path)
+    found = _at(s.path)
     if s.kind == "list":
         out = F.transform(F.from_json(found, "array<string>"), lambda x, i: F.struct(i.alias("pos"), x.alias("raw"), _map(x).alias("item")))
     elif s.kind == "pairs":
@@ -105,7 +114,7 @@ def _items(result: Column, s: Section) -> Column:
         held = lambda m: F.array_join(F.transform(F.filter(who, lambda w: F.array_contains(w["markets"], m)), lambda w: F.coalesce(w["name"], F.lit(""))), "、")
         out = F.transform(names, lambda m, i: F.struct(i.alias("pos"), F.lit(None).cast("string").alias("raw"), F.create_map(F.lit("market"), m, F.lit("names"), held(m)).alias("item")))
     else:
-        out = F.when(_has(result, s.path), F.array(F.struct(F.lit(0).alias("pos"), found.alias("raw"), _map(found).alias("item"))))
+        out = F.when(_has(s.path), F.array(F.struct(F.lit(0).alias("pos"), found.alias("raw"), _map(found).alias("item"))))
     if s.where:
         name, want = s.where
         is_it = lambda x: F.coalesce(F.element_at(x["item"], name), F.lit("")) == want.lstrip("!")
@@ -116,14 +125,14 @@ def _items(result: Column, s: Section) -> Column:
     return out
 
 
-def section_lines(result: Column, s: Section, number: int) -> Column:
+def section_lines(s: Section, number: int) -> Column:
     """Array of (section_no, line_no, text): the heading is line 0, items follow from 1."""
     line = lambda n, t: F.struct(F.lit(number).alias("section_no"), n.cast("long").alias("line_no"), t.alias("text"))
     none = F.array().cast("array<struct<section_no:int,line_no:bigint,text:string>>")
-    items = _items(result, s)
+    items = _items(s)
     if s.unless or s.needs:
-        fit = ~F.coalesce(F.get_json_object(result, s.unless) == "true", F.lit(False)) if s.unless else F.lit(True)
-        items = F.when(fit & (reduce(Column.__or__, [_has(result, p) for p in s.needs]) if s.needs else F.lit(True)), items)
+        fit = ~F.coalesce(_at(s.unless) == "true", F.lit(False)) if s.unless else F.lit(True)
+        items = F.when(fit & (reduce(Column.__or__, [_has(p) for p in s.needs]) if s.needs else F.lit(True)), items)
 
     def shown(x: Column) -> Column:
         of = template(s.template, x["raw"], x["item"], x["pos"])
@@ -132,7 +141,7 @@ def section_lines(result: Column, s: Section, number: int) -> Column:
     lines = F.filter(F.transform(items, lambda x, i: line(i + 1, shown(x))), lambda x: x["text"] != "")
     lines = F.coalesce(lines, none)
     out = [lines]
-    there = reduce(Column.__or__, [_has(result, p) for p in s.shown]) if s.shown else F.size(lines) > 0
+    there = reduce(Column.__or__, [_has(p) for p in s.shown]) if s.shown else F.size(lines) > 0
     if s.heading is not None:
         out.insert(0, F.when(there, F.array(line(F.lit(0), F.lit(s.heading)))).otherwise(none))
     if s.empty is not None:
@@ -144,8 +153,9 @@ def rendered(results: DataFrame, sections: list[Section]) -> DataFrame:
     """(entity, section_no, line_no, text) of results (entity, result as JSON text); sections that have nothing are left out.
 
     One scan and no shuffle, whatever the number of sections."""
-    lines = F.flatten(F.array(*[section_lines(F.col("result"), s, k) for k, s in enumerate(sections)]))
-    return results.select("entity", F.explode(lines).alias("l")).select("entity", "l.*")
+    rows = results.select("entity", "result", F.from_json("result", "map<string,string>").alias("top"))
+    lines = F.flatten(F.array(*[section_lines(s, k) for k, s in enumerate(sections)]))
+    return rows.select("entity", F.explode(lines).alias("l")).select("entity", "l.*")
 
 
 def combined(results: DataFrame) -> DataFrame:

@@ -22,10 +22,11 @@ def phrase_hits(docs: DataFrame, phrases: list[str] | dict[str, list[str]], keys
     """(keys.., phrase, n): how often each phrase is in the text, any case, where it is at all; of several lists (list, ..) too.
 
     One pass, whatever the number of lists."""
-    low = F.lower("text")
+    low, size = F.col("__low"), F.char_length("__low")
     lists = phrases if isinstance(phrases, dict) else {"": phrases}
-    found = F.array(*[F.struct(F.lit(k).alias("list"), F.lit(p).alias("phrase"), ((F.char_length(low) - F.char_length(F.replace(low, F.lit(p.lower()), F.lit("")))) / len(p)).cast("long").alias("n")) for k, ps in lists.items() for p in ps])
-    out = docs.select(*keys, F.explode(F.filter(found, lambda x: x["n"] > 0)).alias("f"))
+    times = lambda p: F.when(low.contains(p), ((size - F.char_length(F.replace(low, F.lit(p), F.lit("")))) / len(p)).cast("long")).otherwise(F.lit(0).cast("long"))
+    found = F.array(*[F.struct(F.lit(k).alias("list"), F.lit(p).alias("phrase"), times(p.lower()).alias("n")) for k, ps in lists.items() for p in ps])
+    out = docs.select(*keys, F.lower("text").alias("__low")).select(*keys, F.explode(F.filter(found, lambda x: x["n"] > 0)).alias("f"))
     return out.select(*keys, *(["f.list"] if isinstance(phrases, dict) else []), "f.phrase", "f.n")
 
 
