@@ -12,8 +12,10 @@ suffix array over a corpus can't be cut into tasks, so equal windows are first b
    the earliest goes on; and the rest, joined, gets its suffix array by linear grouping (``_gsaca``): windows that are
    equal stand together in it, and all but the earliest are repeats. Bins have about BIN_BYTES of contexts, or those of one
    anchor where it has more, MOST_CONTEXTS of at most 2 * width bytes each.
-
-The windows of an anchor with still more different contexts are grouped by their 128-bit digests, which is as exact.
+4. An anchor with still more different contexts is narrowed: its windows are halved by their distance to the anchor. The
+   windows of a half have more bytes in common than the anchor, and these bytes with the half are their new anchor. 2 to 4
+   go on with the narrower contexts. Halves of one window have all of it in common, so this ends, after 7 times at most
+   for windows of 100 bytes.
 
 Tables that a later step doesn't need are dropped, so the disk holds one step's tables and shuffles at a time."""
 
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,7 @@ from ._gsaca import suffix_array
 from ._shared import blocks, drop_written, input_bytes, mixed, text_array, written
 
 GRAM = 32
-BIN_BYTES, MOST_CONTEXTS, BUCKET_BYTES = 512 << 10, 20_000, 64 << 20
+BIN_BYTES, MOST_CONTEXTS, BUCKET_BYTES = 512 << 10, 4_000, 64 << 20
 _PIECE = 8 << 20
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -362,20 +365,27 @@ def _several(contexts: DataFrame) -> DataFrame:
     many = firsts.groupBy("h").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
     few = firsts.join(many.hint("merge"), "h").select("many", F.col("first.doc_id").alias("f_id"), F.col("first.version").alias("f_version"), F.col("first.lo").alias("f_lo"), "k1", "k2").hint("merge")
     sent = contexts.where("context is not null").join(few, ["k1", "k2"]).where(F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("version") == F.col("f_version")) & (F.col("lo") == F.col("f_lo")))
-    return sent.select("h", "many", "n", "off", "context", "doc_id", "version", "lo")
+    return sent.select("h", "many", "near", "far", "n", "off", "context", "doc_id", "version", "lo")
 
 
 def _different_contexts(several: DataFrame, width: int) -> DataFrame:
     """(doc_id, version, lo, n): windows that an earlier, different context of the same anchor has too."""
-    total = several.where(F.col("many") <= MOST_CONTEXTS).agg(F.sum(F.octet_length("context"))).first()[0] or 0
-    bins = max(1, -(-total // BIN_BYTES))
-    binned = several.where(F.col("many") <= MOST_CONTEXTS).withColumn("bin", F.pmod(F.xxhash64("h"), F.lit(bins)))
-    marks = binned.groupBy("bin").applyInArrow(_array_marks(width), "doc_id long, version long, lo int, n int")
-    crowd = several.where(F.col("many") > MOST_CONTEXTS).withColumn("w", F.explode(F.expr("sequence(0, n - 1)")))
-    crowd = crowd.select("h", F.expr(f"unhex(md5(substring(context, w + 1, {width})))").alias("window"), "doc_id", "version", F.expr("lo + w").alias("lo"))
-    earliest = crowd.groupBy("h", "window").agg(F.min(_at()).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1").select("h", "window", "first")
-    later = crowd.join(earliest.hint("merge"), ["h", "window"]).where(~_at().eqNullSafe(F.col("first")))
-    return marks.union(later.select("doc_id", "version", "lo", F.lit(1).alias("n")))
+    total = several.agg(F.sum(F.octet_length("context"))).first()[0] or 0
+    binned = several.withColumn("bin", F.pmod(F.xxhash64("h"), F.lit(max(1, -(-total // BIN_BYTES)))))
+    return binned.groupBy("bin").applyInArrow(_array_marks(width), "doc_id long, version long, lo int, n int")
+
+
+def _halves(crowd: DataFrame, width: int) -> DataFrame:
+    """The contexts of crowded anchors, each cut in two: windows that start near to far bytes before the anchor have the
+    bytes from near before it in common, and these make the new h."""
+    halves = F.explode(F.expr("array(struct(near, int((near + far) div 2) as far), struct(int((near + far) div 2) + 1 as near, far))"))
+    cut = crowd.select("h", "n", "off", "context", "doc_id", "version", "lo", halves.alias("half")).select("*", "half.near", "half.far")
+    cut = cut.withColumn("a", F.expr("greatest(off - far, 0)")).withColumn("m", F.expr("least(off - near, n - 1) - a + 1")).where("m > 0")
+    cut = cut.select(
+        F.expr(f"xxhash64(h, near, far, substring(context, off - near + 1, {width} - far + near))").alias("h"), "near", "far", "doc_id", "version",
+        *(F.expr(x) for x in ("lo + a as lo", "m as n", "off - a as off", f"substring(context, a + 1, m - 1 + {width}) as context")),
+    )
+    return cut.select(F.unhex(F.md5("context")).alias("k1"), F.xxhash64("h", "off", "n").alias("k2"), "*")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 100, n_buckets: int | None = None) -> DataFrame:
@@ -403,15 +413,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     named = lambda df, a: df.withColumnRenamed("doc_id", f"{a}_id").withColumnRenamed("version", f"{a}_version")
     hits = written(hits.join(named(copies.select("doc_id", "version").distinct().hint("merge"), "c"), one("c"), "left_anti"), "hits")
     texts = rows.join(named(hits.hint("merge"), "h"), one("h")).select("doc_id", "version", "text", "hits")
-    contexts = written(texts.mapInArrow(_contexts(width), _CONTEXT), "contexts")
+    around = texts.mapInArrow(_contexts(width), _CONTEXT).select("*", F.lit(0).alias("near"), F.lit(width - GRAM).alias("far"))
+    contexts = written(around, "contexts")
     drop_written(hits)
 
-    marks = [copies, written(_equal_contexts(contexts), "marks")]
-    several = written(_several(contexts), "several")
-    drop_written(contexts)
-    marks.append(written(_different_contexts(several, width), "marks"))
-    drop_written(several)
-
-    found = marks[0].union(marks[1]).union(marks[2]).groupBy("doc_id", "version").agg(F.collect_list(F.struct("lo", "n")).alias("marks"))
+    marks, crowded = [copies], (F.col("many") > MOST_CONTEXTS) & (F.col("near") < F.col("far"))
+    while contexts is not None:
+        marks.append(written(_equal_contexts(contexts), "marks"))
+        several = written(_several(contexts), "several")
+        drop_written(contexts)
+        marks.append(written(_different_contexts(several.where(~crowded), width), "marks"))
+        crowd = several.where(crowded)
+        contexts = None if crowd.isEmpty() else written(_halves(crowd, width), "contexts")
+        drop_written(several)
+
+    found = reduce(DataFrame.union, marks).groupBy("doc_id", "version").agg(F.collect_list(F.struct("lo", "n")).alias("marks"))
     return rows.join(named(found.hint("merge"), "m"), one("m"), "left").select("doc_id", "text", "marks").mapInArrow(_removed(width), "doc_id long, n_bytes long, n_removed long, removed array<struct<start:int,stop:int>>, kept binary")
 

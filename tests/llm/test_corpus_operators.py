@@ -358,6 +358,29 @@ def test_crowded_anchors(docs, rows, monkeypatch):
     assert got == set(brute_repeats(rows))
 
 
+def test_narrowed_anchors(spark, monkeypatch):
+    # one line stands between other words everywhere; some of these come again nearer to it or farther from it
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefgh", k=9))
+    line, few = "the line that all of them hold, word for word", [word() for _ in range(2)]
+    some = lambda: " ".join(rng.choice(few) for _ in range(3))
+    texts = [f"{word()} {some()} {line} {some()} {word()}" for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    monkeypatch.setattr(suffix_dedup, "MOST_CONTEXTS", 4)
+    halves, narrowed = suffix_dedup._halves, []
+    monkeypatch.setattr(suffix_dedup, "_halves", lambda *x: narrowed.append(x) or halves(*x))
+    marks, sizes = suffix_dedup._different_contexts, []
+
+    def seen(several, width):
+        sizes.extend(r["count"] for r in several.where("near < far").groupBy("h").count().collect())
+        return marks(several, width)
+
+    monkeypatch.setattr(suffix_dedup, "_different_contexts", seen)
+    got = {(True, r.doc_id, r.n_bytes, r.n_removed, len(r.removed), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert got == set(brute_repeats(docs.collect()))
+    assert sum(x[3] > 0 for x in got) > 5 and 2 <= len(narrowed) <= 7 and max(sizes) <= 4
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.one_of(st.binary(max_size=60), st.text("ab", max_size=80).map(str.encode)))
 def test_suffix_array(data):
