@@ -7,7 +7,8 @@ sum over its components of the larger product with these two.
 Bounds come first, without vectors: each query is scored against its best shard, which gives it a k-th score to start
 from, and then only pairs of a query group and a shard that some query's bound lets through get to see the vectors. There
 a query takes blocks in falling order of bounds, scores whole blocks, and stops when the next bound is below its k-th
-best score, so nothing that could enter is skipped. Tasks hold one group of queries and one shard, or one chunk of shards'
+best score, so nothing that could enter is skipped. Shards come in waves, each of four times as many as the one before, and
+the k-th scores rise between them: what a wave sends on is some multiple of k rows a query, not of the shards. Tasks hold one group of queries and one shard, or one chunk of shards'
 bounds, all of bounded size; each query's bests of the shards are then ranked."""
 
 from __future__ import annotations
@@ -17,14 +18,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._shared import written
+from ._shared import drop_written, written
 
-#: Shards whose bounds a task holds.
-BOUNDS = 4096
+#: Shards whose bounds a task holds, and shards of the first wave.
+BOUNDS, FIRST_WAVE = 4096, 16
 
 
 def _matrix(vectors: pa.Array, width: int) -> np.ndarray:
@@ -174,6 +175,21 @@ def _scored(width: int, k: int, block: int):
     return score
 
 
+def _waves(shards: int) -> int:
+    """Waves that take ``shards``: FIRST_WAVE of them, then four times as many each."""
+    waves = 1
+    while FIRST_WAVE * (4**waves - 1) // 3 < shards:
+        waves += 1
+    return waves
+
+
+def _wave(shards: int) -> Column:
+    """A shard's wave, by a hash of its number."""
+    at = F.pmod(F.xxhash64(F.lit(3), "shard"), F.lit(1 << 30))
+    edges = [(FIRST_WAVE * (4**w - 1) // 3 << 30) // shards for w in range(1, _waves(shards))]
+    return sum((F.when(at >= e, 1).otherwise(0) for e in edges), F.lit(0)).alias("wave")
+
+
 def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = 2048, group_rows: int = 2048, block: int = 256) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest integer inner products of each query's floor(scale * x) vector
     with those of all other rows; ties go to the smaller id.
@@ -192,35 +208,50 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, id_col: st
     n, n_queries, width = rows.agg(F.count(F.lit(1)), F.count_if("q"), F.max(F.size("v"))).first()
     width = max(width or 0, 1)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    groups, chunks = max(1, -(-n_queries // group_rows)), max(1, -(-(n // shard_rows + parts) // BOUNDS))
+    most_shards = n // shard_rows + parts
+    groups, chunks = max(1, -(-n_queries // group_rows)), max(1, -(-most_shards // BOUNDS))
     every = lambda many: F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
 
     ordered = rows.select("vec_id", "v").repartitionByRange(parts, "vec_id", F.xxhash64("v")).sortWithinPartitions("vec_id", F.xxhash64("v"))
-    shards = written(ordered.mapInArrow(_shards(width, shard_rows), _SHARD), "shards")
+    shards = ordered.mapInArrow(_shards(width, shard_rows), _SHARD).withColumn("wave", _wave(most_shards))
+    shards = written(shards, "shards", "wave")
     asked = rows.where("q").groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("grp", F.pmod(F.xxhash64(F.lit(2), "vec_id"), F.lit(groups)).cast("int"))
 
     def gather(table: pa.Table) -> pa.Table:
         return pa.table({"grp": table["grp"][:1], "ids": pa.array([table["vec_id"].to_numpy().tobytes()], pa.binary()), "m": pa.array([_matrix(table["v"], width).tobytes()], pa.binary())})
 
     queries = written(asked.groupBy("grp").applyInArrow(gather, "grp int, ids binary, m binary"), "queries")
-    bounds = shards.select("shard", "high", "low", F.pmod(F.xxhash64("shard"), F.lit(chunks)).cast("int").alias("chunk")).withColumn("grp", every(groups))
+    bounds = shards.select("wave", "shard", "high", "low", F.pmod(F.xxhash64("shard"), F.lit(chunks)).cast("int").alias("chunk")).withColumn("grp", every(groups))
     pair = "grp int, shard long, i int, bound double"
 
-    def let_through(queries: DataFrame, best_only: bool) -> DataFrame:
+    def let_through(queries: DataFrame, best_only: bool, wave=None) -> DataFrame:
+        own = bounds if wave is None else bounds.where(F.col("wave") == wave)
         by = queries.withColumn("chunk", every(chunks)).groupBy("grp", "chunk")
-        return by.cogroup(bounds.groupBy("grp", "chunk")).applyInArrow(_bounded(width, best_only), pair)
+        return by.cogroup(own.drop("wave").groupBy("grp", "chunk")).applyInArrow(_bounded(width, best_only), pair)
 
-    def scored(pairs: DataFrame, queries: DataFrame) -> DataFrame:
+    def scored(pairs: DataFrame, queries: DataFrame, wave=None) -> DataFrame:
+        own = (shards if wave is None else shards.where(F.col("wave") == wave)).select("shard", "ids", "m").hint("merge")
         q = queries.select("grp", F.col("ids").alias("q_ids"), F.col("m").alias("q_m"), "kth").hint("merge")
-        both = pairs.groupBy("grp", "shard").agg(F.collect_list("i").alias("which")).join(q, "grp").join(shards.select("shard", "ids", "m").hint("merge"), "shard")
+        both = pairs.groupBy("grp", "shard").agg(F.collect_list("i").alias("which")).join(q, "grp").join(own, "shard")
         return both.groupBy("grp", "shard").applyInArrow(_scored(width, k, block), "grp int, i int, query_id long, vec_id long, score long")
 
+    def kth_of(bests: DataFrame) -> DataFrame:
+        last = F.min(F.struct("score", -F.col("vec_id"), "vec_id"))  # of equal scores the largest id is the k-th
+        return bests.groupBy("grp", "i").agg(F.when(F.count(F.lit(1)) == k, last).alias("last"))
+
     none = queries.withColumn("kth", F.lit(None).cast("array<struct<i:int,kth:long,held:long>>"))
     best = let_through(none, True).groupBy("grp", "i").agg(F.max(F.struct("bound", -F.col("shard"), "shard"))["shard"].alias("shard"))
-    last = F.min(F.struct("score", -F.col("vec_id"), "vec_id"))  # of equal scores the largest id is the k-th
-    first = scored(best, none).groupBy("grp", "i").agg(F.when(F.count(F.lit(1)) == k, last).alias("last")).select("grp", "i", F.col("last.score").alias("kth"), F.col("last.vec_id").alias("held"))
-    seeds = first.groupBy("grp").agg(F.collect_list(F.struct("i", "kth", "held")).alias("kth"))
-    started = written(queries.join(seeds, "grp", "left"), "queries")
-    found = scored(let_through(started, False), started)
-    ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(ranked).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    kth = kth_of(scored(best, none))
+    waves, found, ranked = _waves(most_shards), None, Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    for wave in range(waves):
+        kth = written(kth, "kth") if waves > 1 else kth
+        seeds = kth.groupBy("grp").agg(F.collect_list(F.struct("i", F.col("last.score").alias("kth"), F.col("last.vec_id").alias("held"))).alias("kth"))
+        started = written(queries.join(seeds, "grp", "left"), "queries")
+        now = scored(let_through(started, False, wave), started, wave)
+        now = now if found is None else found.unionByName(now)
+        now = now.withColumn("rank", F.row_number().over(ranked).cast("int")).where(F.col("rank") <= k)
+        if wave == waves - 1:
+            return now.select("query_id", "rank", "vec_id", "score")
+        found = written(now.drop("rank"), "bests")
+        drop_written(started)
+        kth = kth.unionByName(kth_of(found)).groupBy("grp", "i").agg(F.max("last").alias("last"))

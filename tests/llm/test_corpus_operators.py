@@ -434,6 +434,21 @@ def test_ties_of_a_very_common_vector(spark):
     assert got == want
 
 
+def test_waves_of_shards(spark, monkeypatch):
+    """The k-th scores rise from wave to wave; ties and repeated rows come out as from one look at all vectors."""
+    assert [topk._waves(n) for n in (0, 1, 16, 17, 80, 81)] == [1, 1, 1, 2, 2, 3]
+    monkeypatch.setattr(topk, "FIRST_WAVE", 1)
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.integers(-2, 3, 6).astype(float).tolist()) for i in range(600)]
+    rows += rows[30:60] + [(i, rows[7][1]) for i in range(600, 640)]
+    df = spark.createDataFrame(rows, "vec_id LONG, embedding ARRAY<DOUBLE>").repartition(5)
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, 10, shard_rows=8, group_rows=7, block=4).collect()
+    ids, m = np.array([i for i, _ in rows]), 64 * np.array([v for _, v in rows]).astype(int)
+    want = [(q, j, -s) for q in range(0, 640, 20) for s, j in sorted((-int(x), int(i)) for i, x in zip(ids, m @ m[ids == q][0], strict=True) if i != q)[:10]]
+    assert sorted((r.query_id, r.vec_id, r.score) for r in got) == sorted(want)
+    assert all(r["rank"] in range(1, 11) for r in got)
+
+
 def test_bounds_keep_vectors_back(spark):
     """Vectors in clusters by id: most pairs of a query and a shard are never scored, and no result is lost."""
     rng = np.random.default_rng(3)
