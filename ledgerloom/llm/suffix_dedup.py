@@ -38,7 +38,7 @@ from ._shared import blocks, drop_written, input_bytes, mixed, text_array, writt
 
 GRAM = 32
 BIN_BYTES, MOST_CONTEXTS, BUCKET_BYTES = 512 << 10, 4_000, 64 << 20
-_PIECE = 8 << 20
+_PIECE = 1 << 20
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -92,19 +92,20 @@ def _anchors_of(data: np.ndarray, edges: np.ndarray, width: int) -> tuple[np.nda
 
 
 def anchors(texts: pa.Array, width: int) -> tuple[np.ndarray, ...]:
-    """``_anchors_of`` a block's texts; long ones piece by piece, so that a text's anchors don't depend on its block."""
+    """``_anchors_of`` texts, _PIECE bytes at a time: only a text longer than that is cut, so that a text's anchors don't
+    depend on its block."""
     n = len(texts)
     edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
     buffer = texts.buffers()[2]
     data = np.frombuffer(buffer, np.uint8)[edges[0] : edges[-1]] if buffer is not None else np.zeros(0, np.uint8)
     edges = edges - edges[0]
-    if n > 1 or len(data) <= _PIECE:
-        return _anchors_of(data, edges, width)
-    found = []
-    for a in range(0, len(data), _PIECE):
-        piece = data[a : a + _PIECE + width - 1]
-        row, lo, *rest = _anchors_of(piece, np.array([0, len(piece)]), width)
-        found.append((row, lo + a, *rest))
+    found = [_anchors_of(data[:0], np.zeros(1, np.int64), width)]
+    for x, y in blocks(texts, _PIECE):
+        own, cut = data[edges[x] : edges[y]], edges[x : y + 1] - edges[x]
+        for a in range(0, max(len(own), 1), _PIECE):
+            piece = own[a : a + _PIECE + width - 1]
+            row, lo, *rest = _anchors_of(piece, cut if len(own) <= _PIECE else np.array([0, len(piece)]), width)
+            found.append((row + x, lo + a, *rest))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 

@@ -358,6 +358,22 @@ def test_crowded_anchors(docs, rows, monkeypatch):
     assert got == set(brute_repeats(rows))
 
 
+def test_anchors_by_piece(rows, monkeypatch):
+    """Each window has the same anchor however texts are cut, and a text's anchors are numbered alike in any block."""
+    texts = pa.array([r.text or "" for r in rows], pa.large_string())
+
+    def windows(found):
+        return {(r, lo + w, lo + off) for r, lo, n, off in zip(*(x.tolist() for x in found[:4]), strict=True) for w in range(n)}
+
+    whole = windows(suffix_dedup.anchors(texts, 100))
+    monkeypatch.setattr(suffix_dedup, "_PIECE", 700)
+    found = suffix_dedup.anchors(texts, 100)
+    assert windows(found) == whole and len(whole) == sum(max(0, len(t.encode()) - 99) for t in texts.to_pylist())
+    for i in range(len(texts)):
+        alone = suffix_dedup.anchors(texts.slice(i, 1), 100)
+        assert all((x[found[0] == i] == y).all() for x, y in zip(found[1:], alone[1:], strict=True))
+
+
 def test_narrowed_anchors(spark, monkeypatch):
     # one line stands between other words everywhere; some of these come again nearer to it or farther from it
     rng = random.Random(9)
