@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from decimal import ROUND_HALF_UP, Decimal
 
+import duckdb
 from pyspark.sql import functions as F
 
 from ledgerloom import catalog
@@ -30,6 +32,36 @@ def test_signed_percent_has_every_order_and_its_ties(spark, tmp_path):
     assert got == {1: ("+1.3%", "1.3%"), 2: ("+1.8%", "1.8%"), 3: ("+1.1%", "1.1%"), 4: ("+0.3%", "0.3%"), 5: ("+0.8%", "0.8%")}
 
 
+def both_shown(spark, path, name, prices, keys=26):
+    """(order, price, shown by Spark, shown by DuckDB) of each price under so many keys."""
+    orders = [(i * keys + k, p) for i, p in enumerate(prices) for k in range(keys)]
+    spark.createDataFrame(orders, "o_orderkey LONG, o_totalprice DOUBLE").write.parquet(f"{path}/orders.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{path}/orders.parquet/*.parquet'")
+    theirs = dict(con.execute(catalog.SQL[name]).fetchall())
+    ours = {r.o_orderkey: r.shown for r in catalog.QUERIES[name](spark, str(path)).collect()}
+    assert ours.keys() == theirs.keys() and len(ours) == len(orders)
+    return [(k, p, ours[k], theirs[k]) for k, p in orders]
+
+
+def odd_prices():
+    ties = [(n * 1000 + 500) * s for n in range(80) for s in (1.0, 10.0)]
+    beside = [math.nextafter(p, to) for p in ties for to in (0.0, 1e9)]
+    return ties + beside + [-p for p in ties] + [None, math.nan, math.inf, -math.inf, 0.0, -0.0, 0.3, -0.3, -0.004, 9999.99, 9999.996, 999999.5, 1.5e6, 2.5e6, 1.15e14]
+
+
+def test_fmt_val_has_its_sql_s_rows_at_ties(spark, tmp_path):
+    assert [x for x in both_shown(spark, tmp_path, "fmt_val", odd_prices()) if x[2] != x[3]] == []
+
+
+def test_money_in_reports_goes_to_the_nearest_of_the_exact_double(spark):
+    values = [1.25e9, 1.35e9, -1.15e9, 2.5e6, 3.5e6, math.nan, -math.inf, None]
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE").select(numbers.money(F.col("v")).alias("exact"), numbers.money(F.col("v"), away=True).alias("away"))
+    got = df.collect()
+    assert [r.exact for r in got] == ["$1.2B", "$1.4B", "$-1.1B", "$2M", "$4M", "$nanB", "$-infB", "—"]
+    assert [r.away for r in got] == ["$1.3B", "$1.4B", "$-1.2B", "$2M", "$4M", "$nanB", "$-infB", "—"]
+
+
 def test_texts_are_taken_whole(spark, tmp_path):
     texts = ["x" * 100 + "|a\nb\rc CapEx", "y " * 2000 + "| CapEx", "z " * 700, None]
     spark.createDataFrame([(i, x, "s") for i, x in enumerate(texts)], "doc_id LONG, text STRING, source STRING").write.parquet(f"{tmp_path}/documents.parquet")
