@@ -37,5 +37,6 @@ def percent(val: Column, signed: bool = False) -> Column:
     return F.when(val.isNull(), NONE).otherwise(F.format_string("%+.1f%%" if signed else "%.1f%%", val))
 
 
-def shares(val: Column) -> Column:
-    return F.when(val.isNull(), NONE).when(F.abs(val) >= 1e6, F.concat(F.format_number(val / 1e6, 1), F.lit("M"))).otherwise(F.format_number(val, 0))
+def shares(val: Column, away: bool = False) -> Column:
+    """'1.2M', '1,234', or a dash for null; `away`: half a tenth of a million goes away from zero, not to even."""
+    return F.when(val.isNull(), NONE).when(F.abs(val) >= 1e6, F.concat(_tenths(val / 1e6, away), F.lit("M"))).otherwise(plain(val))

@@ -62,6 +62,17 @@ def test_money_in_reports_goes_to_the_nearest_of_the_exact_double(spark):
     assert [r.away for r in got] == ["$1.3B", "$1.4B", "$-1.2B", "$2M", "$4M", "$nanB", "$-infB", "—"]
 
 
+def test_shares_has_its_sql_s_rows_at_ties(spark, tmp_path):
+    assert [x for x in both_shown(spark, tmp_path, "shares", odd_prices()) if x[2] != x[3]] == []
+
+
+def test_shares_in_reports_go_to_the_nearest_of_the_exact_double(spark):
+    df = spark.createDataFrame([(v,) for v in (1.25e6, 1.35e6, -1.15e6, 999999.0, None)], "v DOUBLE")
+    got = df.select(numbers.shares(F.col("v")).alias("exact"), numbers.shares(F.col("v"), away=True).alias("away")).collect()
+    assert [r.exact for r in got] == ["1.2M", "1.4M", "-1.1M", "999,999", "—"]
+    assert [r.away for r in got] == ["1.3M", "1.4M", "-1.2M", "999,999", "—"]
+
+
 def test_texts_are_taken_whole(spark, tmp_path):
     texts = ["x" * 100 + "|a\nb\rc CapEx", "y " * 2000 + "| CapEx", "z " * 700, None]
     spark.createDataFrame([(i, x, "s") for i, x in enumerate(texts)], "doc_id LONG, text STRING, source STRING").write.parquet(f"{tmp_path}/documents.parquet")
